@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from textforge.functions.normalize import sentence_words
 from textforge.operators.examples import PairSettings
 from textforge.operators.vocab import encode_sentences, vocab_from_lines, vocab_list
-from textforge.storage import materialize
+from textforge.storage import materialize, spread
 
 SEED = 12345
 SPECIALS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
@@ -33,12 +33,14 @@ def vocab_lines(spark, sf_dir) -> DataFrame:
 
     Bounded by construction: 2,000 words and two entries per distinct character.
     """
-    words = documents(spark, sf_dir).select(F.explode(F.flatten(sentence_words(F.col("text")))).alias("word"))
-    counts = words.groupBy("word").count()
+    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    # explode would infer a filter on the words and evaluate the whole chain twice.
+    words = texts.select(F.explode_outer(F.flatten(sentence_words(F.col("text")))).alias("word"))
+    counts = materialize(words.groupBy("word").count().where(F.col("word").isNotNull()))
     chars = counts.select(F.explode(F.split("word", "")).alias("c")).where("c <> ''").distinct()
-    ranked = chars.agg(F.array_sort(F.collect_set("c")).alias("cs")).select(F.posexplode("cs").alias("r", "c"))
+    ranked = chars.agg(F.sort_array(F.collect_set("c")).alias("cs")).select(F.posexplode("cs").alias("r", "c"))
     top = (counts.orderBy(F.desc("count"), "word").limit(2000)
-           .agg(F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("n"), "word"))).alias("ws"))
+           .agg(F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("n"), "word"))).alias("ws"))
            .select(F.posexplode("ws").alias("r", "w")))
     special = spark.createDataFrame(list(enumerate(SPECIALS)), "line_no long, line string")
     return (special
@@ -63,8 +65,10 @@ def vocab_table(spark, sf_dir) -> DataFrame:
 
 def tokenized(spark, sf_dir, stored: bool = False) -> DataFrame:
     """(doc_id, ids, lens) of the documents that have tokens."""
-    words = documents(spark, sf_dir).select("doc_id", sentence_words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    docs = encode_sentences(words, "words", vocab(spark, sf_dir))
+    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    words = texts.select("doc_id", sentence_words(F.col("text")).alias("words"))
+    # Filtered on the result: a filter on the words would evaluate the whole chain twice.
+    docs = encode_sentences(words, "words", vocab(spark, sf_dir)).where(F.size("lens") > 0)
     return materialize(docs) if stored else docs
 
 

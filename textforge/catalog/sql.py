@@ -215,11 +215,12 @@ INSTANCES = f"""{CUT},
 whole AS (SELECT doc_id, dupe, chunk_no, is_random, ka, kb,
     [2]::INT[] || a[fa + 1 : fa + ka] || [3]::INT[] || b[fb + 1 : fb + kb] || [3]::INT[] AS original FROM cut),
 cand AS (SELECT doc_id, dupe, chunk_no, pos, tok, size,
-    {h(SEED, 'doc_id', 'dupe', 'chunk_no', "'mask'", 'pos')} AS hh
+    {h(SEED, 'doc_id', 'dupe', 'chunk_no', "'mask'", 'pos')} AS hh,
+    substr({h(SEED, 'doc_id', 'dupe', 'chunk_no', "'mask'", "'o'", 'pos // 4')}, pos % 4 * 8 + 1, 8) AS place
   FROM (SELECT doc_id, dupe, chunk_no, len(original) AS size, unnest(range(len(original))) AS pos, unnest(original) AS tok
         FROM whole) WHERE tok NOT IN (2, 3)),
 masked AS (SELECT *, {u('hh', 9)} AS act, floor({u('hh', 17)} * (SELECT count(*) FROM vocab))::INT AS word FROM cand
-  QUALIFY row_number() OVER (PARTITION BY doc_id, dupe, chunk_no ORDER BY hh, pos)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, dupe, chunk_no ORDER BY place, pos)
           <= least({MAX_PRED}, greatest(1, round_even(size * 0.15::DOUBLE, 0)::INT))),
 masks AS (SELECT doc_id, dupe, chunk_no, list(pos ORDER BY pos) AS positions, list(tok ORDER BY pos) AS labels,
     sum(CASE WHEN act < 0.8 THEN 4 WHEN act < 0.9 THEN tok ELSE word END - tok)::BIGINT AS delta,

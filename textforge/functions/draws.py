@@ -16,6 +16,11 @@ _TWO_32 = 4294967296.0
 _TWO_52 = 4503599627370496.0
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value evaluated once per row, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def key_text(*keys) -> Column:
     """Join keys (column names, Columns or literals marked with F.lit) with '|'."""
     cols = [F.col(k) if isinstance(k, str) else (k if isinstance(k, Column) else F.lit(k)) for k in keys]

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textforge.functions.draws import let
+
 # Line filters, rewrites and deletions, in order of application.
 DROP_LINE_PATTERNS = [r"^<doc [^>\n]*>$", r"\[\[Category:[^\]\[\n]*\]\]"]
 
@@ -84,19 +86,19 @@ def drop_marked_lines(text: Column) -> Column:
 
 def unwrap_links(text: Column) -> Column:
     """Resolve [[x]], [[a|b]], media links and single brackets; drop alt=."""
-    linked = F.when(text.contains("["), _rewrite(text, LINK_RULES)).otherwise(text)
+    linked = let(text, lambda t: F.when(t.contains("["), _rewrite(t, LINK_RULES)).otherwise(t))
     return F.replace(linked, F.lit("alt="), F.lit(""))
 
 
 def strip_tags(text: Column) -> Column:
     """Apply the tag rules in order; texts without '<' skip the chain."""
-    body = F.replace(text, F.lit("</doc>"), F.lit("\r"))
-    body = _rewrite(body, TAG_RULES)
-    body = _delete(body, LITERAL_TAGS_BEFORE_DIV)
-    body = _rewrite(body, DIV_RULES)
-    body = _delete(body, LITERAL_TAGS)
-    body = _rewrite(body, [POEM_RULE])
-    return F.when(text.contains("<"), body).otherwise(text)
+    def chain(t: Column) -> Column:
+        body = F.replace(t, F.lit("</doc>"), F.lit("\r"))
+        body = _delete(_rewrite(body, TAG_RULES), LITERAL_TAGS_BEFORE_DIV)
+        body = _delete(_rewrite(body, DIV_RULES), LITERAL_TAGS)
+        return _rewrite(body, [POEM_RULE])
+
+    return let(text, lambda t: F.when(t.contains("<"), chain(t)).otherwise(t))
 
 
 def clean_markup(text: Column) -> Column:

@@ -14,6 +14,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textforge.functions.draws import let
 from textforge.functions.sentences import mark_boundaries
 
 # The eight CJK ideograph ranges.
@@ -24,6 +25,7 @@ CJK_RANGES = [
 # ASCII symbols that count as punctuation, beside category P.
 ASCII_PUNCT_RANGES = [(33, 47), (58, 64), (91, 96), (123, 126)]
 
+NON_ASCII = r"[^\x00-\x7F]"
 UNUSED_TOKEN_PATTERN = r"^\[unused\d+\]$"
 
 
@@ -95,15 +97,21 @@ def _jamo(syllable: Column) -> Column:
 def strip_accents(text: Column) -> Column:
     """Canonical decomposition, then removal of non-spacing marks."""
     single, multiple = _decompositions()
-    simple = F.translate(text, "".join(single), "".join(single.values()))
     rare = f"[\\x{{AC00}}-\\x{{D7A3}}{''.join(multiple)}]"
-    by_char = F.array_join(
-        F.transform(F.split(simple, ""), lambda c: F.when(c.rlike(r"^[\x{AC00}-\x{D7A3}]$"), _jamo(c)).otherwise(c)), ""
-    )
-    expanded = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), multiple.items(), by_char)
-    # The rare branch runs only on rows that hold such characters.
-    folded = F.when(text.rlike(rare), expanded).otherwise(simple)
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"\p{Mn}", "")).otherwise(text)
+
+    def decompose(c: Column) -> Column:
+        return F.when(c.rlike(r"^[\x{AC00}-\x{D7A3}]$"), _jamo(c)).otherwise(c)
+
+    def expand(t: Column) -> Column:
+        by_char = F.array_join(F.transform(F.split(t, ""), decompose), "")
+        return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), multiple.items(), by_char)
+
+    def fold(t: Column) -> Column:
+        # ASCII rows skip everything; the rare branch runs only on rows that hold such characters.
+        simple = F.translate(F.when(t.rlike(rare), expand(t)).otherwise(t), "".join(single), "".join(single.values()))
+        return F.when(t.rlike(NON_ASCII), F.regexp_replace(simple, r"\p{Mn}", "")).otherwise(t)
+
+    return let(text, fold)
 
 
 def lower_strip_accents(text: Column) -> Column:

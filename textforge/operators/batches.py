@@ -41,7 +41,7 @@ def make_batches(indexed: DataFrame, size: int, columns: list[str], n_rows: int
     rows = with_batch(indexed, size, index)
     if n_rows is not None:
         rows = rows.where(F.col("batch_id") < n_rows // size)
-    return rows.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("slot", *columns))).alias("rows"))
+    return rows.groupBy("batch_id").agg(F.sort_array(F.collect_list(F.struct("slot", *columns))).alias("rows"))
 
 
 def per_replica(batch: int, replicas: int) -> int:

@@ -29,7 +29,7 @@ def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, ids: str = "id
     """
     spread = rows.select(key, F.posexplode(ids).alias("pos", "id"))
     found = spread.join(table, "id")
-    return found.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "vector"))).alias("_v")).select(
+    return found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "vector"))).alias("_v")).select(
         key, F.transform("_v", lambda x: x.vector).alias("vectors"))
 
 
@@ -47,5 +47,5 @@ def feature_records(features: DataFrame, activations: DataFrame, layers: list[in
     tokens = features.select("unique_id", F.posexplode("tokens").alias("pos", "token"))
     joined = tokens.join(activations, ["unique_id", "pos"])
     return joined.groupBy(F.col("unique_id").cast("int").alias("linex_index")).agg(
-        F.array_sort(F.collect_list(F.struct("pos", F.struct("token", chosen(F.col("layers")).alias("layers")).alias("f")))).alias("_f")
+        F.sort_array(F.collect_list(F.struct("pos", F.struct("token", chosen(F.col("layers")).alias("layers")).alias("f")))).alias("_f")
     ).select("linex_index", F.transform("_f", lambda x: x.f).alias("features"))

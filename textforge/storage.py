@@ -38,3 +38,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartition an input of fewer partitions than cores; larger inputs stay as scanned.
+
+    The scan cuts files into 128 MB parts, so this only moves data that is small for the cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
