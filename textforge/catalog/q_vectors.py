@@ -108,7 +108,7 @@ def features_json(spark, sf_dir):
     """Export records per text pair, flattened to columns."""
     n = table(spark, sf_dir, "embeddings").count()
     features = assemble_features(pair_tokens(spark, sf_dir), 16, "[CLS]", "[SEP]").select("unique_id", "tokens")
-    places = features.select("unique_id", F.posexplode("tokens").alias("pos", "_t")).select(
+    places = features.select("unique_id", F.posexplode_outer("tokens").alias("pos", "_t")).select(
         "unique_id", "pos", ((F.col("unique_id") * 16 + F.col("pos")) % n).alias("vec_id"))
     layers = vectors(spark, sf_dir).select("vec_id", F.transform(F.slice("v", 1, 4), lambda x: F.array(x)).alias("layers"))
     activations = places.join(layers, "vec_id").select("unique_id", "pos", "layers")

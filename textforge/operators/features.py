@@ -44,7 +44,8 @@ def feature_records(features: DataFrame, activations: DataFrame, layers: list[in
                      F.transform(F.element_at(all_layers, i if i < 0 else i + 1), lambda v: F.round(v, digits)).alias("values"))
             for i in layers])
 
-    tokens = features.select("unique_id", F.posexplode("tokens").alias("pos", "token"))
+    # posexplode would infer a filter on tokens and evaluate them twice; tokens are never empty.
+    tokens = features.select("unique_id", F.posexplode_outer("tokens").alias("pos", "token"))
     joined = tokens.join(activations, ["unique_id", "pos"])
     return joined.groupBy(F.col("unique_id").cast("int").alias("linex_index")).agg(
         F.sort_array(F.collect_list(F.struct("pos", F.struct("token", chosen(F.col("layers")).alias("layers")).alias("f")))).alias("_f")
