@@ -14,7 +14,7 @@ from textforge.sources import sinks
 from textforge.sources.text import list_files, read_texts, split_articles
 from textforge.storage import materialize
 
-_HEADER = "﷓"  # stands for a header's blank line while cleaning; never part of interchanged text
+_HEADER = "\ufdd3"  # stands for a header's blank line while cleaning; never part of interchanged text
 
 
 @dataclass(frozen=True)
