@@ -146,9 +146,10 @@ def test_prediction_count(value, n, want):
 
 def test_masks(spark):
     rows = spark.range(400).select("id", F.concat(F.array(F.lit(2)), F.sequence(F.lit(10), F.lit(49)), F.array(F.lit(3))).alias("t"))
-    drawn = rows.withColumn("d", pairs.mask_draws(F.col("t"), 2, 3, F.col("id").cast("string"), 0.15, 20))
-    out = drawn.select("t", pairs.masked_positions(F.col("d")).alias("p"), pairs.labels_at(F.col("t"), F.col("d")).alias("l"),
-                       pairs.apply_masks(F.col("t"), F.col("d"), 4, 1000, lambda w: w + 2000).alias("m")).collect()
+    key = F.col("id").cast("string")
+    drawn = rows.withColumn("p", pairs.mask_positions(F.col("t"), 2, 3, key, 0.15, 20))
+    out = drawn.select("t", "p", pairs.labels_at(F.col("t"), F.col("p")).alias("l"),
+                       pairs.apply_masks(F.col("t"), F.col("p"), key, 4, 1000, lambda w: w + 2000).alias("m")).collect()
     kinds = {"mask": 0, "same": 0, "word": 0}
     hit = np.zeros(42)
     for r in out:

@@ -143,7 +143,7 @@ def test_encode_sentences(spark):
     docs = [(1, [["unaffable", "a"], ["b"]]), (2, []), (3, [["ax"], []])]
     rows = spark.createDataFrame(docs, "doc_id int, words array<array<string>>").coalesce(1)
     got = {r.doc_id: (r.ids, r.lens) for r in V.encode_sentences(rows, "words", VOCAB).collect()}
-    assert got == {1: ([5, 6, 7, 8, 11], [4, 1]), 2: ([], []), 3: ([1], [1, 0])}
+    assert got == {1: ([5, 6, 7, 8, 11], [4, 5]), 2: ([], []), 3: ([1], [1, 1])}
 
 
 def test_lookup_errors(spark):
@@ -162,7 +162,7 @@ def test_chunk_ranges_cover_the_document():
     for doc in range(200):
         lens = rng.integers(1, 30, rng.integers(1, 40)).tolist()
         at = 0
-        for no, first, last, a_end, is_random, a_at, a_len, next_len in chunk_ranges(lens, 61, 1, doc, 0):
+        for no, first, last, a_end, is_random, a_at, a_len, next_len in chunk_ranges(np.cumsum(lens), 61, 1, doc, 0):
             assert first == at and first < a_end <= last and a_at == sum(lens[:first]) and a_len == sum(lens[first:a_end])
             assert next_len == sum(lens[a_end:last])
             assert last == len(lens) or sum(lens[first:last]) >= 61
@@ -179,8 +179,8 @@ def corpus(spark, n, parts=4):
     docs = []
     for d in range(n):
         lens = rng.integers(1, 25, rng.integers(1, 20)).tolist()
-        docs.append((d, (rng.integers(5, 500, sum(lens))).tolist(), lens))
-    return spark.createDataFrame(docs, "doc_id long, ids array<int>, lens array<int>").repartition(parts)
+        docs.append((d, (rng.integers(5, 500, sum(lens))).tolist(), np.cumsum(lens).tolist()))
+    return spark.createDataFrame(docs, "doc_id long, ids array<int>, ends array<int>").repartition(parts)
 
 
 S = PairSettings(max_seq=32, max_pred=5, dupe=2, vocab_size=500)
@@ -189,7 +189,7 @@ S = PairSettings(max_seq=32, max_pred=5, dupe=2, vocab_size=500)
 def test_examples_have_fixed_shape(spark):
     docs = corpus(spark, 60)
     rows = create_examples(docs, S).collect()
-    lengths = {r.doc_id: sum(r.lens) for r in docs.collect()}
+    lengths = {r.doc_id: r.ends[-1] for r in docs.collect()}
     assert {r.doc_id for r in rows} == set(lengths)
     assert {r.dupe for r in rows} == {0, 1}
     for r in rows:

@@ -24,8 +24,13 @@ def documents(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark, sf_dir, *columns) -> DataFrame:
+    """doc_id, text and further columns, over all cores even if the file has one row group."""
+    return spread(documents(spark, sf_dir).select("doc_id", "text", *columns), "doc_id")
+
+
 def text_lines(spark, sf_dir) -> DataFrame:
-    return documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return texts(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def vocab_lines(spark, sf_dir) -> DataFrame:
@@ -33,9 +38,8 @@ def vocab_lines(spark, sf_dir) -> DataFrame:
 
     Bounded by construction: 2,000 words and two entries per distinct character.
     """
-    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
     # explode would infer a filter on the words and evaluate the whole chain twice.
-    words = texts.select(F.explode_outer(F.flatten(sentence_words(F.col("text")))).alias("word"))
+    words = texts(spark, sf_dir).select(F.explode_outer(F.flatten(sentence_words(F.col("text")))).alias("word"))
     counts = materialize(words.groupBy("word").count().where(F.col("word").isNotNull()))
     chars = counts.select(F.explode(F.split("word", "")).alias("c")).where("c <> ''").distinct()
     ranked = chars.agg(F.sort_array(F.collect_set("c")).alias("cs")).select(F.posexplode("cs").alias("r", "c"))
@@ -64,11 +68,10 @@ def vocab_table(spark, sf_dir) -> DataFrame:
 
 
 def tokenized(spark, sf_dir, stored: bool = False) -> DataFrame:
-    """(doc_id, ids, lens) of the documents that have tokens."""
-    texts = spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
-    words = texts.select("doc_id", sentence_words(F.col("text")).alias("words"))
+    """(doc_id, ids, ends) of the documents that have tokens."""
+    words = texts(spark, sf_dir).select("doc_id", sentence_words(F.col("text")).alias("words"))
     # Filtered on the result: a filter on the words would evaluate the whole chain twice.
-    docs = encode_sentences(words, "words", vocab(spark, sf_dir)).where(F.size("lens") > 0)
+    docs = encode_sentences(words, "words", vocab(spark, sf_dir)).where(F.size("ends") > 0)
     return materialize(docs) if stored else docs
 
 

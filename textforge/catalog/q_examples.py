@@ -44,9 +44,7 @@ def target_lengths(spark, sf_dir):
 SELECT doc_id, dupe, chunk_no, first::INT AS first, last::INT AS last, a_end::INT AS a_end, is_random FROM chunks"""))
 def plan_chunks(spark, sf_dir):
     s = settings(spark, sf_dir)
-    lens = X.duplicate(tokenized(spark, sf_dir, stored=True).select("doc_id", "lens"), s.dupe).withColumn(
-        "target", X.target_len(s.max_tokens, s.short_prob, s.seed, "doc_id", "dupe"))
-    return X.plan_chunks(lens, s.seed).select("doc_id", "dupe", "chunk_no", "first", "last", "a_end", "is_random")
+    return X.planned_chunks(tokenized(spark, sf_dir, stored=True), s).select("doc_id", "dupe", "chunk_no", "first", "last", "a_end", "is_random")
 
 
 def pair_digest(df, *more):
@@ -162,13 +160,13 @@ FROM whole JOIN masks USING (doc_id, dupe, chunk_no)"""))
 def pretrain_examples(spark, sf_dir):
     """The flagship: shuffled, masked, padded sentence-pair examples, one digest row each."""
     s = settings(spark, sf_dir)
-    e = X.shuffle_examples(X.create_examples(tokenized(spark, sf_dir, stored=True), s).select(
+    docs = tokenized(spark, sf_dir, stored=True)
+    return X.shuffle_examples(X.create_examples(docs, s).select(
         "doc_id", "dupe", "chunk_no", int_sum("input_mask").alias("n_tokens"), F.get("next_sentence_labels", F.lit(0)).alias("next_label"),
         int_sum("input_ids").alias("id_sum"), int_sum(F.transform("input_ids", lambda x, i: (x * (i + 1)).cast("long"))).alias("weighted_sum"),
         int_sum("segment_ids").alias("segment_sum"), int_sum("masked_lm_positions").alias("position_sum"),
         int_sum("masked_lm_ids").alias("label_sum"),
-        F.aggregate("masked_lm_weights", F.lit(0.0), lambda a, x: a + x).alias("weight_sum")), s.seed)
-    return e
+        F.aggregate("masked_lm_weights", F.lit(0.0), lambda a, x: a + x).alias("weight_sum")), s.seed, X.example_keys(docs, s))
 
 
 @query("example_stats", S.with_ctes(S.INSTANCES, f"""

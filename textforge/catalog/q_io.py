@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textforge.catalog import sql as S
-from textforge.catalog.inputs import SEED, documents, settings, table, text_lines, tokenized, vocab_lines
+from textforge.catalog.inputs import SEED, documents, settings, table, texts, tokenized, vocab_lines
 from textforge.catalog.registry import query
 from textforge.functions.draws import order_key
 from textforge.functions.normalize import decode_utf8_ignore
 from textforge.functions.sentences import split_sentences
-from textforge.operators.examples import create_examples, shuffle_examples
+from textforge.operators.examples import create_examples, example_keys, shuffle_examples
 from textforge.operators.holdout import article_hash
 from textforge.operators.ordering import dense_index
 from textforge.operators.packing import pack_name
@@ -36,7 +36,7 @@ def extracts(spark, sf_dir):
         return F.concat(head, line, F.when(i % 4 == 2, "\n</doc>").otherwise(""))
 
     body = F.array_join(F.transform(F.split("text", "\n"), wrap), "\n")
-    return documents(spark, sf_dir).select("doc_id", F.concat(body, F.lit("\n")).alias("text"))
+    return texts(spark, sf_dir).select("doc_id", F.concat(body, F.lit("\n")).alias("text"))
 
 
 EXTRACT_LINES_SQL = f"""{EXTRACT_SQL},
@@ -60,7 +60,7 @@ def article_files(spark, sf_dir):
     def close(line, i):
         return F.concat(line, F.when(i % 3 == 2, "\n\n\n").when(i % 3 == 0, "\n\n").otherwise("\n"))
 
-    return documents(spark, sf_dir).select("doc_id", F.concat(F.array_join(F.transform(F.split("text", "\n"), close), ""), F.lit("\n")).alias("text"))
+    return texts(spark, sf_dir).select("doc_id", F.concat(F.array_join(F.transform(F.split("text", "\n"), close), ""), F.lit("\n")).alias("text"))
 
 
 @query("file_inventory")
@@ -143,7 +143,8 @@ FROM (SELECT w.doc_id, w.dupe, w.chunk_no, original, is_random, positions, label
 def tfrecord_roundtrip(spark, sf_dir):
     """Examples written as TFRecord files, read back and summed."""
     s = settings(spark, sf_dir)
-    indexed = shuffle_examples(create_examples(tokenized(spark, sf_dir, stored=True), s), SEED)
+    docs = tokenized(spark, sf_dir, stored=True)
+    indexed = shuffle_examples(create_examples(docs, s), SEED, example_keys(docs, s))
     folder = f"{shared_folder(spark)}/tfrecord-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
     write_tfrecord(indexed, folder, 8, mode="overwrite")
     back = read_tfrecord(spark, folder, s.max_seq, s.max_pred)
@@ -169,7 +170,7 @@ def utf8_ignore(spark, sf_dir):
 @query("article_text", S.with_ctes(S.SENTENCES, """
 SELECT doc_id, md5(string_agg(sent, chr(10) ORDER BY sent_no) || chr(10)) AS article_md5 FROM sentences GROUP BY doc_id"""))
 def article_text_rows(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.md5(article_text(split_sentences(F.col("text")))).alias("article_md5"))
+    return texts(spark, sf_dir).select("doc_id", F.md5(article_text(split_sentences(F.col("text")))).alias("article_md5"))
 
 
 @query("eval_hashes", f"SELECT doc_id, md5({S.rstrip('text || chr(10) || chr(32) || chr(10)')}) AS md5 FROM documents")

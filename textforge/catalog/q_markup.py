@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textforge.catalog import sql as S
-from textforge.catalog.inputs import documents, table, text_lines
+from textforge.catalog.inputs import table, text_lines, texts
 from textforge.catalog.q_io import EXTRACT_LINES_SQL, EXTRACT_SQL, extract_lines, extracts
 from textforge.catalog.registry import query
 from textforge.functions import markup
 from textforge.functions.sentences import split_sentences
 from textforge.operators.headers import drop_doc_headers
+from textforge.storage import spread
 
 # Test markup put before a line, by line number and document.
 SAMPLES = [
@@ -68,7 +69,7 @@ def unwrap_links(spark, sf_dir):
 
 @query("strip_tags", f"SELECT page_id, md5({S.strip_tags('html')}) AS html_md5 FROM pages")
 def strip_tags(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.md5(markup.strip_tags(F.col("html"))).alias("html_md5"))
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id").select("page_id", F.md5(markup.strip_tags(F.col("html"))).alias("html_md5"))
 
 
 CLEANED_SQL = f"""{MARKED_SQL},
@@ -80,7 +81,7 @@ def marked_texts(spark, sf_dir):
     pick = F.lit(SAMPLES)
     lines = F.transform(F.split("text", "\n"), lambda l, i: F.concat(
         F.element_at(pick, ((i + F.col("doc_id")) % len(SAMPLES) + 1).cast("int")), l))
-    return documents(spark, sf_dir).select("doc_id", F.array_join(lines, "\n").alias("text"))
+    return texts(spark, sf_dir).select("doc_id", F.array_join(lines, "\n").alias("text"))
 
 
 @query("clean_markup", S.with_ctes(CLEANED_SQL, """
@@ -112,7 +113,7 @@ def article_fragments(spark, sf_dir):
 @query("split_sentences", S.with_ctes(S.SENTENCES, """
 SELECT doc_id, sent_no::BIGINT AS sent_no, md5(sent) AS sent_md5 FROM sentences"""))
 def split_sentences_rows(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", F.posexplode(split_sentences(F.col("text"))).alias("sent_no", "sent")).select(
+    return texts(spark, sf_dir).select("doc_id", F.posexplode(split_sentences(F.col("text"))).alias("sent_no", "sent")).select(
         "doc_id", F.col("sent_no").cast("long").alias("sent_no"), F.md5("sent").alias("sent_md5"))
 
 
@@ -120,6 +121,6 @@ def split_sentences_rows(spark, sf_dir):
 SELECT doc_id, count(*) AS n_sentences, max(length(sent))::BIGINT AS longest FROM sentences GROUP BY doc_id"""))
 def sentence_counts(spark, sf_dir):
     sents = split_sentences(F.col("text"))
-    return documents(spark, sf_dir).select("doc_id", sents.alias("s")).select(
+    return texts(spark, sf_dir).select("doc_id", sents.alias("s")).select(
         "doc_id", F.size("s").cast("long").alias("n_sentences"),
         F.array_max(F.transform("s", lambda x: F.length(x))).cast("long").alias("longest"))

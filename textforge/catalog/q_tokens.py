@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textforge.catalog import sql as S
-from textforge.catalog.inputs import documents, tokenized, vocab, vocab_table
+from textforge.catalog.inputs import documents, texts, tokenized, vocab, vocab_table
 from textforge.catalog.registry import query
 from textforge.functions import normalize as N
 from textforge.functions.normalize import sentence_words
 from textforge.operators import vocab as V
-from textforge.storage import materialize, spread
 
 # Test characters the documents lack: controls, format marks, wide spaces; CJK in place of some letters.
 NOISE_FROM, NOISE_TO = "qzxk", "\x07‍ \t"
@@ -25,10 +24,6 @@ NOISY_SQL = f"translate(text, {S.q(NOISE_FROM)}, {S.q(NOISE_TO)})"
 CJK_SQL = f"translate(text, {S.q(CJK_FROM)}, {S.q(CJK_TO)})"
 
 
-def texts(spark, sf_dir):
-    return spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
-
-
 def digest(tokens):
     """Count and md5 of a token array."""
     return [F.size(tokens).cast("long").alias("n_tokens"), F.md5(F.array_join(tokens, " ")).alias("tokens_md5")]
@@ -147,7 +142,8 @@ def ids_to_tokens(spark, sf_dir):
 SELECT lang, source, count(*) AS n_documents, sum(len(lens))::BIGINT AS n_sentences, sum(len(ids))::BIGINT AS n_tokens,
   max(list_max(lens))::BIGINT AS longest_sentence FROM docs JOIN documents USING (doc_id) GROUP BY lang, source"""))
 def token_counts(spark, sf_dir):
-    sizes = tokenized(spark, sf_dir).select("doc_id", F.size("lens").alias("s"), F.size("ids").alias("t"), F.array_max("lens").alias("m"))
+    sizes = tokenized(spark, sf_dir).select("doc_id", F.size("ends").alias("s"), F.size("ids").alias("t"),
+                                            F.array_max(F.transform("ends", lambda e, i: e - F.coalesce(F.get("ends", i - 1), F.lit(0)))).alias("m"))
     return sizes.join(documents(spark, sf_dir).select("doc_id", "lang", "source"), "doc_id").groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n_documents"), F.sum("s").cast("long").alias("n_sentences"),
         F.sum("t").cast("long").alias("n_tokens"), F.max("m").cast("long").alias("longest_sentence"))

@@ -183,7 +183,7 @@ started AS (SELECT p.*, x.doc_id AS partner_id,
     dt.total AS p_total, dt.n AS p_n
   FROM partner p JOIN doc_index x ON x.doc_idx = p.partner_idx JOIN doc_totals dt ON dt.doc_id = x.doc_id
   JOIN docs d ON d.doc_id = p.doc_id JOIN doc_totals own ON own.doc_id = p.doc_id),
-ended AS (SELECT *, least(greatest(len(list_filter(p_total, lambda t: t < p_total[b_first + 1] + target - len(a))),
+ended AS (SELECT *, least(greatest(len(list_filter(p_total, lambda t: t < p_total[b_first + 1] + greatest(target - len(a), 1))),
                                    b_first + 1), p_n) AS b_last FROM started),
 pairs AS (SELECT e.doc_id, dupe, chunk_no, is_random, partner_id, b_first, b_last, a,
     CASE WHEN is_random THEN d.ids[p_total[b_first + 1] + 1 : p_total[b_last + 1]] ELSE next_b END AS b
@@ -211,15 +211,24 @@ CUT = f"""{PAIRS},
 keyed AS (SELECT *, concat_ws('|', {SEED}, doc_id, dupe, chunk_no, 'cut') AS ck FROM pairs),
 cut AS ({truncation('keyed', MAX_TOKENS, '*')})"""
 
+def coefficients(hash_sql: str) -> str:
+    return "[" + ", ".join(f"('0x' || substr({hash_sql}, {8 * k + 1}, 8))::BIGINT % 2147483647" for k in range(4)) + "]"
+
+
+def cubic(c: str, i: str) -> str:
+    return f"(((({c}[1] * {i} + {c}[2]) % 2147483647 * {i} + {c}[3]) % 2147483647 * {i} + {c}[4]) % 2147483647)"
+
+
 INSTANCES = f"""{CUT},
 whole AS (SELECT doc_id, dupe, chunk_no, is_random, ka, kb,
     [2]::INT[] || a[fa + 1 : fa + ka] || [3]::INT[] || b[fb + 1 : fb + kb] || [3]::INT[] AS original FROM cut),
-cand AS (SELECT doc_id, dupe, chunk_no, pos, tok, size,
-    {h(SEED, 'doc_id', 'dupe', 'chunk_no', "'mask'", 'pos')} AS hh,
-    substr({h(SEED, 'doc_id', 'dupe', 'chunk_no', "'mask'", "'o'", 'pos // 4')}, pos % 4 * 8 + 1, 8) AS place
-  FROM (SELECT doc_id, dupe, chunk_no, len(original) AS size, unnest(range(len(original))) AS pos, unnest(original) AS tok
-        FROM whole) WHERE tok NOT IN (2, 3)),
-masked AS (SELECT *, {u('hh', 9)} AS act, floor({u('hh', 17)} * (SELECT count(*) FROM vocab))::INT AS word FROM cand
+cand AS (SELECT doc_id, dupe, chunk_no, pos, tok, size, {cubic('hp', 'pos')} AS place, {cubic('ha', 'pos')} / 2147483647::DOUBLE AS act,
+    floor({cubic('hw', 'pos')} / 2147483647::DOUBLE * v)::INT AS word
+  FROM (SELECT doc_id, dupe, chunk_no, len(original) AS size, unnest(range(len(original))) AS pos, unnest(original) AS tok,
+          {coefficients(h('mk', "'place'"))} AS hp, {coefficients(h('mk', "'act'"))} AS ha, {coefficients(h('mk', "'word'"))} AS hw, v
+        FROM (SELECT *, concat_ws('|', {SEED}, doc_id, dupe, chunk_no, 'mask') AS mk FROM whole), (SELECT count(*) AS v FROM vocab))
+  WHERE tok NOT IN (2, 3)),
+masked AS (SELECT * FROM cand
   QUALIFY row_number() OVER (PARTITION BY doc_id, dupe, chunk_no ORDER BY place, pos)
           <= least({MAX_PRED}, greatest(1, round_even(size * 0.15::DOUBLE, 0)::INT))),
 masks AS (SELECT doc_id, dupe, chunk_no, list(pos ORDER BY pos) AS positions, list(tok ORDER BY pos) AS labels,

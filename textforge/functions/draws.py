@@ -46,6 +46,25 @@ def uniform(seed: int, *keys) -> Column:
     return hex_uniform(order_key(seed, *keys))
 
 
+PRIME = 2147483647
+
+
+def coefficients(h: Column) -> Column:
+    """Four numbers below PRIME from an md5: the coefficients of a cubic hash."""
+    return F.struct(*[(F.conv(F.substring(h, 8 * k + 1, 8), 16, 10).cast("long") % PRIME).alias(f"c{k}") for k in range(4)])
+
+
+def cubic(c: Column, i: Column) -> Column:
+    """Cubic polynomial of i modulo PRIME: four-wise independent numbers for the places of a
+    row at a few integer operations each, instead of a hash per place."""
+    i = i.cast("long")
+    return (((c.c0 * i + c.c1) % PRIME * i + c.c2) % PRIME * i + c.c3) % PRIME
+
+
+def cubic_uniform(c: Column, i: Column) -> Column:
+    return cubic(c, i).cast("double") / F.lit(float(PRIME))
+
+
 def py_hash(*keys) -> str:
     """The same md5 inside an Arrow task."""
     return hashlib.md5("|".join(map(str, keys)).encode("utf-8")).hexdigest()

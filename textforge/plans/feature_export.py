@@ -18,9 +18,9 @@ def pair_features(pairs: DataFrame, vocab: list[str], seq_length: int, lower: bo
         basic_tokens(F.col("text_a"), lower),
         F.coalesce(basic_tokens(F.col("text_b"), lower), F.array().cast("array<string>"))).alias("words"))
     coded = encode_sentences(words, "words", vocab)
-    first = F.get("lens", F.lit(0))
+    first = F.get("ends", F.lit(0))
     halves = coded.select("unique_id", F.slice("ids", F.lit(1), first).alias("a"),
-                          F.slice("ids", first + 1, F.get("lens", F.lit(1))).alias("b"))
+                          F.slice("ids", first + 1, F.get("ends", F.lit(1)) - first).alias("b"))
     rows = assemble_features(halves, seq_length, vocab.index("[CLS]"), vocab.index("[SEP]"))
     return rows.select(
         "unique_id", F.col("tokens").alias("token_ids"), pad(F.col("tokens"), seq_length, 0).alias("input_ids"),

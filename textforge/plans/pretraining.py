@@ -14,11 +14,11 @@ from textforge.storage import materialize
 
 
 def tokenize_documents(documents: DataFrame, vocab: list[str], lower: bool = True, key: str = "doc_id") -> DataFrame:
-    """(doc_id, sentences array<string>) to a stored (doc_id, ids, lens); documents without tokens are dropped."""
+    """(doc_id, sentences array<string>) to a stored (doc_id, ids, ends); documents without tokens are dropped."""
     words = documents.select(F.col(key).alias("doc_id"),
                              F.transform("sentences", lambda x: basic_tokens(x, lower)).alias("words"))
     full = words.select("doc_id", F.filter("words", lambda w: F.size(w) > 0).alias("words"))
-    return materialize(encode_sentences(full, "words", vocab).where(F.size("lens") > 0))
+    return materialize(encode_sentences(full, "words", vocab).where(F.size("ends") > 0))
 
 
 def generate_examples(documents: DataFrame, vocab: DataFrame, s: X.PairSettings, lower: bool = True) -> DataFrame:
@@ -27,8 +27,7 @@ def generate_examples(documents: DataFrame, vocab: DataFrame, s: X.PairSettings,
     at = {t: tokens.index(t) for t in ("[CLS]", "[SEP]", "[MASK]")}
     sized = X.PairSettings(**{**s.__dict__, "cls": at["[CLS]"], "sep": at["[SEP]"], "mask": at["[MASK]"], "vocab_size": len(tokens)})
     docs = tokenize_documents(documents, tokens, lower)
-    # The index is counted on the examples' keys; storing them keeps one evaluation.
-    return X.shuffle_examples(materialize(X.create_examples(docs, sized)), sized.seed)
+    return X.shuffle_examples(X.create_examples(docs, sized), sized.seed, X.example_keys(docs, sized))
 
 
 def write_examples(examples: DataFrame, path: str, n_files: int) -> None:
