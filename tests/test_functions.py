@@ -185,3 +185,15 @@ def test_vectors(value):
     normed = np.array(value(vectors.layer_norm(v)))
     assert np.allclose(normed, (x - x.mean()) / np.sqrt(x.var() + 1e-12))
     assert value(vectors.select_layers(F.array(*[F.lit(i) for i in (10, 20, 30, 40)]), [-1, 0])) == [40, 10]
+
+
+def test_batch_masking_equals_column_masking(spark):
+    rows = spark.range(300).withColumn("n", (F.col("id") % 40).cast("int")).select(
+        F.col("id").cast("string").alias("key"),
+        F.concat(F.array(F.lit(2)), F.when(F.col("n") > 0, F.sequence(F.lit(10), F.col("n") + 9)).otherwise(F.array()).cast("array<int>"),
+                 F.array(F.lit(3))).alias("t"))
+    key, t, p = F.col("key"), F.col("t"), F.col("p")
+    column = rows.withColumn("p", pairs.mask_positions(t, 2, 3, key, 0.3, 7)).select(
+        "key", pairs.apply_masks(t, p, key, 4, 99, lambda w: w).alias("token_ids"), p.alias("positions"), pairs.labels_at(t, p).alias("labels"))
+    batch = rows.select("key", pairs.mask_ids(t, 2, 3, key, 0.3, 7, 4, 99).alias("m")).select("key", "m.*")
+    assert sorted(map(tuple, batch.collect()), key=str) == sorted(map(tuple, column.collect()), key=str)

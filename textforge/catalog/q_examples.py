@@ -124,8 +124,14 @@ SELECT doc_id, dupe, chunk_no, len(positions)::BIGINT AS n_masked, array_to_stri
   list_sum(list_transform(original, lambda x, i: x * i))::BIGINT + weighted_delta AS weighted_sum
 FROM whole JOIN masks USING (doc_id, dupe, chunk_no)"""))
 def mask_tokens(spark, sf_dir):
+    """The column form of masking; pretrain_examples uses the batch form."""
     docs, s, index, n = planned(spark, sf_dir)
-    rows = X.instances(X.sentence_pairs(docs, s, index, n), s)
+    whole = X.assembled(X.sentence_pairs(docs, s, index, n), s)
+    key = key_text(F.lit(s.seed), "doc_id", "dupe", "chunk_no", F.lit("mask"))
+    original, positions = F.col("original"), F.col("positions")
+    rows = whole.withColumn("positions", pairs.mask_positions(original, s.cls, s.sep, key, s.mask_prob, s.max_pred)).select(
+        "doc_id", "dupe", "chunk_no", "positions", pairs.labels_at(original, positions).alias("labels"),
+        pairs.apply_masks(original, positions, key, s.mask, s.vocab_size, lambda w: w).alias("token_ids"))
     return rows.select(
         "doc_id", "dupe", "chunk_no", F.size("positions").cast("long").alias("n_masked"),
         F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"),
