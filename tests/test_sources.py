@@ -4,6 +4,7 @@ import os
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -114,8 +115,16 @@ def test_known_checksums():
     want = (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
     assert int(tfrecord.masked_crcs([b"123456789"])[0]) == want
     assert [int(x) for x in tfrecord.masked_crcs([b"123456789", b"1", b"123456789"])][::2] == [want, want]
-    assert tfrecord.decode_example(tfrecord.encode_example(
-        {n: [1, 200, 70000] if n not in tfrecord.FLOAT_FEATURES else [0.5] for n in tfrecord.FEATURES}))["input_ids"] == [1, 200, 70000]
+    batch = pa.RecordBatch.from_pydict({n: pa.array([[1, 127, 128, 70000], [0, -1, 2**31 - 1, 16384]], pa.list_(pa.int32()))
+                                        if n not in tfrecord.FLOAT_FEATURES else pa.array([[0.5] * 4, [1.0] * 4], pa.list_(pa.float32()))
+                                        for n in tfrecord.FEATURES})
+    coded = tfrecord.encode_examples(batch.slice(1))
+    assert tfrecord.decode_examples(coded, lambda n: 4, "x").to_pylist() == batch.slice(1).to_pylist()
+    # next_sentence_labels = [1] as one map entry: key, then an int64 list of one packed varint.
+    name = b"next_sentence_labels"
+    one = pa.RecordBatch.from_pydict({n: pa.array([[1]], pa.list_(pa.float32() if n in tfrecord.FLOAT_FEATURES else pa.int32()))
+                                      for n in tfrecord.FEATURES})
+    assert tfrecord.encode_examples(one)[0].endswith(b"\x0a\x1d\x0a\x14" + name + b"\x12\x05\x1a\x03\x0a\x01\x01")
 
 
 def test_report_sinks(spark, tmp_path):
