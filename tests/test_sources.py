@@ -173,6 +173,19 @@ def test_prepare_corpus(spark, tmp_path, fragment):
     assert whole.count() == (80 if fragment else 40)
 
 
+@pytest.mark.parametrize("fragment", [True, False])
+def test_large_files_give_the_same_articles(spark, tmp_path, fragment):
+    for f in range(3):
+        put(tmp_path, f"wiki_{f}", extract(6, 10 * f) + "<doc a>\n<doc b>\n\nTail [[File:q]]. Last one.\n</doc>\n")
+    s = corpus.CorpusSettings(fragment_on_blank=fragment)
+
+    def texts(df):
+        return sorted((r.file_id, r.text.strip()) for r in df.collect() if r.text.strip())
+
+    whole = texts(corpus.corpus_articles(spark, f"{tmp_path}/wiki_*", s))
+    assert len(whole) >= 18 and texts(corpus.articles_from_lines(spark, f"{tmp_path}/wiki_*", s)) == whole
+
+
 def test_generate_and_pick(spark, tmp_path):
     lines = "\n\n".join("\n".join(f"a b unaffable {w} x." for w in "abcdefgh"[: 3 + i % 5]) for i in range(30)) + "\n\n"
     docs = text.read_documents(spark, put(tmp_path, "t", lines)).select(F.col("article_no").cast("long").alias("doc_id"), "sentences")

@@ -69,20 +69,20 @@ JOIN (SELECT doc_id, count(*) AS n FROM sentences GROUP BY doc_id) c ON c.doc_id
 def split_counts(spark, sf_dir):
     """Articles and sentences per split and language."""
     counted = articles(spark, sf_dir, "lang", F.size(split_sentences(F.col("text"))).alias("n"))
-    return holdout.with_split(counted, sample(spark, sf_dir)).groupBy("split", "lang").agg(
+    return holdout.with_split(counted, sample(spark, sf_dir), N_TEST).groupBy("split", "lang").agg(
         F.count(F.lit(1)).alias("n_articles"), F.sum("n").cast("long").alias("n_sentences"))
 
 
 @query("eval_articles", S.with_ctes(SAMPLE_SQL, """
 SELECT file_id, article_no, md5(text) AS text_md5 FROM articles SEMI JOIN sample USING (file_id, article_no)"""))
 def eval_articles(spark, sf_dir):
-    return holdout.held_out(articles(spark, sf_dir, F.md5("text").alias("text_md5")), sample(spark, sf_dir))
+    return holdout.held_out(articles(spark, sf_dir, F.md5("text").alias("text_md5")), sample(spark, sf_dir), N_TEST)
 
 
 @query("train_articles", S.with_ctes(SAMPLE_SQL, """
 SELECT file_id, article_no, md5(text) AS text_md5 FROM articles ANTI JOIN sample USING (file_id, article_no)"""))
 def train_articles(spark, sf_dir):
-    return holdout.kept_for_training(articles(spark, sf_dir, F.md5("text").alias("text_md5")), sample(spark, sf_dir))
+    return holdout.kept_for_training(articles(spark, sf_dir, F.md5("text").alias("text_md5")), sample(spark, sf_dir), N_TEST)
 
 
 @query("heldout_overlap", S.with_ctes(SAMPLE_SQL, f"""
@@ -94,9 +94,9 @@ def heldout_overlap(spark, sf_dir):
     """Training articles that equal a held-out article or a benchmark item."""
     rows = articles(spark, sf_dir, "text")
     ids = sample(spark, sf_dir)
-    hashes = holdout.held_out(rows, ids).select(holdout.article_hash(F.col("text")).alias("md5")).union(
+    hashes = holdout.held_out(rows, ids, N_TEST).select(holdout.article_hash(F.col("text")).alias("md5")).union(
         table(spark, sf_dir, "benchmark").select(holdout.article_hash(F.col("text")).alias("md5")))
-    return holdout.held_out_overlap(holdout.kept_for_training(rows, ids), hashes).select("article_no", "md5")
+    return holdout.held_out_overlap(holdout.kept_for_training(rows, ids, N_TEST), hashes).select("article_no", "md5")
 
 
 @query("manifest_check", """

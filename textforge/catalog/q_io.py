@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from textforge.catalog import sql as S
@@ -145,8 +147,11 @@ def tfrecord_roundtrip(spark, sf_dir):
     s = settings(spark, sf_dir)
     docs = tokenized(spark, sf_dir, stored=True)
     indexed = shuffle_examples(create_examples(docs, s), SEED, example_keys(docs, s))
-    folder = f"{shared_folder(spark)}/tfrecord-{spark.sparkContext.applicationId}-{abs(hash(sf_dir))}"
-    write_tfrecord(indexed, folder, 8, mode="overwrite")
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    folder = f"{shared}/tfrecord-{uuid.uuid4().hex}"
+    write_tfrecord(indexed, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
     back = read_tfrecord(spark, folder, s.max_seq, s.max_pred)
 
     def total(c):

@@ -34,17 +34,26 @@ def sample_per_file(articles: DataFrame, quotas: DataFrame, n_test: int, n_files
             .where(F.col("_rank") <= F.col("quota")).select("file_id", key))
 
 
-def held_out(articles: DataFrame, ids: DataFrame, key: str = "article_no") -> DataFrame:
-    return articles.join(ids, ["file_id", key], "left_semi")
+BROADCAST_IDS = 1_000_000
 
 
-def kept_for_training(articles: DataFrame, ids: DataFrame, key: str = "article_no") -> DataFrame:
-    return articles.join(ids, ["file_id", key], "left_anti")
+def _small(ids: DataFrame, n_test: int | None) -> DataFrame:
+    """Broadcast the ids if n_test, which bounds their number, is small: the articles stay
+    where they are.  Otherwise Spark shuffles both sides."""
+    return F.broadcast(ids) if n_test is not None and n_test <= BROADCAST_IDS else ids
 
 
-def with_split(articles: DataFrame, ids: DataFrame, key: str = "article_no") -> DataFrame:
+def held_out(articles: DataFrame, ids: DataFrame, n_test: int | None = None, key: str = "article_no") -> DataFrame:
+    return articles.join(_small(ids, n_test), ["file_id", key], "left_semi")
+
+
+def kept_for_training(articles: DataFrame, ids: DataFrame, n_test: int | None = None, key: str = "article_no") -> DataFrame:
+    return articles.join(_small(ids, n_test), ["file_id", key], "left_anti")
+
+
+def with_split(articles: DataFrame, ids: DataFrame, n_test: int | None = None, key: str = "article_no") -> DataFrame:
     """Single pass form: a ``split`` column, 'eval' or 'train'."""
-    flagged = ids.select("file_id", key, F.lit("eval").alias("_split"))
+    flagged = _small(ids.select("file_id", key, F.lit("eval").alias("_split")), n_test)
     return (articles.join(flagged, ["file_id", key], "left")
             .withColumn("split", F.coalesce("_split", F.lit("train"))).drop("_split"))
 
