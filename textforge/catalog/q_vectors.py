@@ -103,7 +103,7 @@ def select_layers(spark, sf_dir):
 hit AS (SELECT unique_id, pos, token, embedding::DOUBLE[] AS v FROM tokens, (SELECT count(*) AS n FROM embeddings)
   JOIN embeddings ON vec_id = (unique_id * 16 + pos) % n)
 SELECT unique_id::INT AS linex_index, count(*) AS n_tokens, string_agg(token, ' ' ORDER BY pos) AS tokens,
-  round(sum(v[4]), 4) AS last_layer, round(sum(v[1]), 4) AS first_layer FROM hit GROUP BY unique_id""".lstrip()))
+  round(sum(round(v[4], 6)), 6) AS last_layer, round(sum(round(v[1], 6)), 6) AS first_layer FROM hit GROUP BY unique_id""".lstrip()))
 def features_json(spark, sf_dir):
     """Export records per text pair, flattened to columns."""
     n = table(spark, sf_dir, "embeddings").count()
@@ -115,7 +115,7 @@ def features_json(spark, sf_dir):
     records = feature_records(features, activations, [-1, 0])
 
     def layer_sum(i):
-        return F.round(F.aggregate("features", F.lit(0.0), lambda a, f: a + F.get(F.get(f.layers, F.lit(i))["values"], F.lit(0))), 4)
+        return F.round(F.aggregate("features", F.lit(0.0), lambda a, f: a + F.get(F.get(f.layers, F.lit(i))["values"], F.lit(0))), 6)
 
     return records.select(
         "linex_index", F.size("features").cast("long").alias("n_tokens"),
