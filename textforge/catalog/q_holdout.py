@@ -12,6 +12,7 @@ from textforge.functions.sentences import split_sentences
 from textforge.operators import holdout, packing
 from textforge.operators.batches import shard
 from textforge.operators.ordering import dense_index
+from textforge.storage import spread
 
 N_TEST = 130
 PACK_LIMIT = 9000
@@ -42,7 +43,9 @@ def quotas(spark, sf_dir):
 
 
 def articles(spark, sf_dir, *columns):
-    return documents(spark, sf_dir).join(files(spark, sf_dir).select("file_id", "source"), "source").select(
+    docs = documents(spark, sf_dir)
+    rows = spread(docs, "doc_id") if columns else docs
+    return rows.join(files(spark, sf_dir).select("file_id", "source"), "source").select(
         "file_id", F.col("doc_id").alias("article_no"), *columns)
 
 
