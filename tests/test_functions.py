@@ -87,8 +87,12 @@ def test_accents_equal_canonical_decomposition(spark):
         chr(c) for c in range(0xF900, 0xFB50)] + [chr(0x1D15E), chr(0x2F800)]
     chars = [c for c in chars if unicodedata.category(c) != "Cn"]
     rows = spark.createDataFrame([(f"x{c}y",) for c in chars], "t string").select(
-        "t", normalize.strip_accents(T).alias("v"), T.rlike(r"\p{Cn}").alias("newer_than_jvm"))
-    for r in rows.where("not newer_than_jvm").collect():
+        "t", normalize.strip_accents(T).alias("v"), T.rlike(r"\p{Mn}").alias("jvm_mark"))
+    for r in rows.collect():
+        # The JVM's Unicode tables are older: a few characters were added or reclassified since.
+        if r.jvm_mark != (unicodedata.category(r.t[1]) == "Mn"):
+            assert unicodedata.normalize("NFD", r.t) == r.t
+            continue
         want = "".join(x for x in unicodedata.normalize("NFD", r.t) if unicodedata.category(x) != "Mn")
         assert r.v == want, (r.t, r.v, want)
 

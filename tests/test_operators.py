@@ -142,7 +142,7 @@ def test_wordpieces(spark, word, want):
 def test_encode_sentences(spark):
     docs = [(1, [["unaffable", "a"], ["b"]]), (2, []), (3, [["ax"], []])]
     rows = spark.createDataFrame(docs, "doc_id int, words array<array<string>>").coalesce(1)
-    got = {r.doc_id: (r.ids, r.lens) for r in V.encode_sentences(rows, "words", VOCAB).collect()}
+    got = {r.doc_id: (r.ids, r.ends) for r in V.encode_sentences(rows, "words", VOCAB).collect()}
     assert got == {1: ([5, 6, 7, 8, 11], [4, 5]), 2: ([], []), 3: ([1], [1, 1])}
 
 
