@@ -120,3 +120,33 @@ def binaries(raw: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """A binary array: bytes raw[offsets[i]:offsets[i+1]]."""
     at = np.ascontiguousarray(offsets, np.int32)
     return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(raw).view(np.uint8))])
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def _after_wide_space(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each position may be white space beyond ASCII."""
+    one, two, three = (raw[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    short = (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
+    wide = (three >= 0xE1) & (three <= 0xE3) & ((two == 0x80) | (two == 0x81) | (two == 0x9A)) & (one >= 0x80)
+    return short | wide
+
+
+def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(offsets, codes, dictionary): texts cut before every run of white space.
+
+    No pre-tokenizer's piece goes on from another character into white space, so a text's
+    pieces are those of its units, one after the other.
+    """
+    raw, ends = utf8(texts)
+    space = _SPACE[raw]
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = space[1:] & ~space[:-1]
+    cuts = np.flatnonzero(begins)
+    begins[cuts[_after_wide_space(raw, cuts)]] = False
+    begins[ends[:-1][np.diff(ends) > 0]] = True
+    starts = np.flatnonzero(begins)
+    codes, dictionary = encode(strings(raw, np.append(starts, len(raw))))
+    return np.searchsorted(starts, ends), codes, dictionary

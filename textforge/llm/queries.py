@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from textforge.llm import near_dup
+from textforge.llm import near_dup, token_counts, token_files
+from textforge.storage import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -25,6 +27,29 @@ def _table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _new_folder(spark, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@_query("op2_token_files")
+def op2(spark, sf_dir):
+    path = _new_folder(spark, "tokens")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, _tokenizer("byte_bpe_50k.json"))
+    read = token_files.with_starts(token_files.read_digests(spark, path))
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_query("op3_token_counts")
+def op3(spark, sf_dir):
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 @_query("op10_near_duplicates")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
