@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import near_dup, token_counts, token_files
+from textforge.llm import near_dup, secrets, token_counts, token_files, topk
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -37,6 +37,19 @@ def _new_folder(spark, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@_query("op1_exact_topk", """
+    WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+               WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                 CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op1(spark, sf_dir):
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return topk.exact_top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 @_query("op2_token_files")
 def op2(spark, sf_dir):
     path = _new_folder(spark, "tokens")
@@ -50,6 +63,11 @@ def op3(spark, sf_dir):
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+@_query("op8_secret_scan")
+def op8(spark, sf_dir):
+    return secrets.digest_columns(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
 @_query("op10_near_duplicates")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
