@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import near_dup, secrets, token_counts, token_files, topk
+from textforge.llm import main_text, near_dup, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -63,6 +63,19 @@ def op3(spark, sf_dir):
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+@_query("op5_warc_round_trip")
+def op5(spark, sf_dir):
+    path = _new_folder(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    read = warc.read_records(spark.read.parquet(f"{path}/index"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op7_main_text")
+def op7(spark, sf_dir):
+    return main_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 @_query("op8_secret_scan")
 def op8(spark, sf_dir):
     return secrets.digest_columns(secrets.find_secrets(_table(spark, sf_dir, "documents")))
