@@ -29,16 +29,16 @@ from textforge.storage import materialize
 
 @dataclass(frozen=True)
 class NearDupSettings:
-    """A pair of similarity 0.85 misses 40 of 64 coordinates with probability 2e-6, and 900 of
-    1,024 sketch bits with probability below 1e-7; more similar pairs miss them less often."""
+    """A pair of similarity 0.85 misses 40 of 64 coordinates with probability 2e-6, and 905 of
+    1,024 sketch bits with probability 1e-6; more similar pairs miss them less often."""
 
     shingle: int = 5
     percent: int = 85
     coordinates: int = 64
     matches: int = 40
-    pivot_rounds: int = 6
+    pivot_rounds: int = 2
     sketch_bits: int = 1024
-    sketch_matches: int = 900
+    sketch_matches: int = 905
     seed: int = 7
 
 
