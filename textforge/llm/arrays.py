@@ -150,3 +150,33 @@ def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     starts = np.flatnonzero(begins)
     codes, dictionary = encode(strings(raw, np.append(starts, len(raw))))
     return np.searchsorted(starts, ends), codes, dictionary
+
+
+_PLAIN = np.full(256, 32, np.uint8)
+for _span in (range(48, 58), range(97, 123), range(128, 256)):
+    _PLAIN[list(_span)] = list(_span)
+_PLAIN[65:91] = np.arange(97, 123)
+
+_KIND = np.full(256, 2, np.uint8)  # signs
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_KIND[[*range(9, 14), 32]] = 0
+
+
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """words() of lower-cased texts whose ASCII signs are white space."""
+    raw, at = utf8(texts)
+    return words(strings(_PLAIN[raw], at))
+
+
+def word_and_sign_runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(offsets, codes, dictionary) of lower-cased runs of word characters and runs of signs."""
+    raw, ends = utf8(texts)
+    kind = _KIND[raw]
+    begins = np.zeros(len(raw), bool)
+    begins[1:] = kind[1:] != kind[:-1]
+    begins[ends[:-1][np.diff(ends) > 0]] = True
+    starts = np.flatnonzero(begins)
+    full = kind[starts] > 0
+    flat = pc.ascii_lower(strings(raw, np.append(starts, len(raw))).filter(pa.array(full)))
+    codes, dictionary = encode(flat)
+    return np.searchsorted(starts[full], ends), codes, dictionary

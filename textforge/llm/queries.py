@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import main_text, near_dup, secrets, token_counts, token_files, topk, warc
+from textforge.llm import main_text, near_dup, quality, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -81,6 +81,11 @@ def op8(spark, sf_dir):
     return secrets.digest_columns(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+@_query("op9_quality_sample")
+def op9(spark, sf_dir):
+    return quality.sampled_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query("op10_near_duplicates")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
