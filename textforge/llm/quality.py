@@ -35,11 +35,16 @@ class QualitySettings:
     buckets: int = 1 << 17  # of words, and as many of pairs
     labelled_rows: int = 50_000
     pseudo_count: float = 5.0
-    z: float = 3.0
-    highest: float = 0.5
+    z: float = 4.0
+    highest: float = 0.25
     temperature: float = 0.05
     seed: int = 11
 
+    @property
+    def size(self) -> int:
+        """Words, pairs, and the one feature of repetition."""
+        return 2 * self.buckets + 1
+
 
 CHUNK = 8 << 20
 
@@ -55,9 +60,9 @@ def _features(texts: pa.Array, s: QualitySettings) -> tuple[np.ndarray, np.ndarr
     # A word or pair three times in a row is one and the same feature, whichever word it is.
     again = (hashed[2:] == hashed[:-2]) & (owner[2:] == owner[:-2])
     thrice = again[:-3] & again[1:-2] & again[2:-1] & again[3:]
-    size = 2 * s.buckets
+    size = s.size
     found = np.unique(np.concatenate([owner * size + words, owner[1:][inside] * size + s.buckets + pair.astype(np.int64),
-                                      owner[: len(thrice)][thrice] * size + s.buckets]))
+                                      owner[: len(thrice)][thrice] * size + size - 1]))
     return found % size, found // size
 
 
@@ -69,7 +74,7 @@ def labelled_sample(labels: DataFrame, s: QualitySettings) -> DataFrame:
 
 
 def _counted(s: QualitySettings):
-    size = 2 * s.buckets
+    size = s.size
 
     def run(batches):
         raw, target = np.zeros(size, np.int64), np.zeros(size, np.int64)
@@ -89,10 +94,10 @@ def fit(docs: DataFrame, sample: DataFrame, s: QualitySettings) -> np.ndarray:
     rows = arrays.text_rows(docs).join(F.broadcast(sample), F.col("id") == F.col("label_id"), "left").select("text", "good")
     counts = rows.mapInArrow(_counted(s), "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     found = counts.toArrow()
-    raw, target = np.zeros(2 * s.buckets), np.zeros(2 * s.buckets)
+    raw, target = np.zeros(s.size), np.zeros(s.size)
     at = found.column("bucket").to_numpy()
     raw[at], target[at] = found.column("raw").to_numpy(), found.column("target").to_numpy()
-    ratio = np.zeros(2 * s.buckets)
+    ratio = np.zeros(s.size)
     for part in (slice(0, s.buckets), slice(s.buckets, None)):
         n_raw, n_target = raw[part].sum(), target[part].sum()
         if not n_target:

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import main_text, near_dup, quality, secrets, token_counts, token_files, topk, warc
+from textforge.llm import decontaminate, main_text, near_dup, quality, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -71,6 +71,11 @@ def op5(spark, sf_dir):
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@_query("op6_contaminated")
+def op6(spark, sf_dir):
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 @_query("op7_main_text")
 def op7(spark, sf_dir):
     return main_text.main_texts(_table(spark, sf_dir, "pages"))
