@@ -23,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ HEAD = struct.Struct("<4s4I")
 BLOCK_BYTES = 16 << 20  # of text
 BLOCKS_PER_FILE = 8
 MAX_TOKENIZER = 64 << 20
+KNOWN_PIECES = 500_000  # pieces that a worker remembers between blocks
 
 # The byte-level pre-tokenizer's pattern, here over characters whose class no
 # Unicode version changes.
@@ -80,11 +82,14 @@ class UnitEncoder:
                        and not any(re.search(r"\s", x) or not x for x in self.special)
                        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec.get("added_tokens", [])))
         self.letters = str.maketrans(_byte_letters())
+        self.known: dict[str, list[int]] = {}
 
     def encode(self, units: list[str]) -> list[list[int]]:
         if not self.direct:
             return [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        tokenize, letters, known = self.tokenizer.model.tokenize, self.letters, {}
+        tokenize, letters, known = self.tokenizer.model.tokenize, self.letters, self.known
+        if len(known) > KNOWN_PIECES:
+            known.clear()
         out: list = [None] * len(units)
         rest = []
         for k, unit in enumerate(units):
@@ -103,6 +108,12 @@ class UnitEncoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder_of(text: str) -> UnitEncoder:
+    """A worker's encoder, kept from task to task."""
+    return UnitEncoder(text)
+
+
 def encode_texts(encoder: UnitEncoder, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids u32, ids per document): each document's ids and the end id."""
     offsets, codes, dictionary = arrays.units(texts)
@@ -184,7 +195,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     spec = tokenizer_text(tokenizer_path)
 
     def run(batches):
-        encoder = UnitEncoder(spec)
+        encoder = encoder_of(spec)
         for batch in arrays.joined(batches, limit=BLOCK_BYTES):
             ids, sizes = encode_texts(encoder, arrays.text_array(batch.column("text")), end_id)
             yield pa.RecordBatch.from_arrays([pa.array([block(batch.column("id"), ids, sizes)], pa.binary())], names=["block"])
