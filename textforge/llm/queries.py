@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import decontaminate, main_text, near_dup, quality, secrets, token_counts, token_files, topk, warc
+from textforge.llm import decontaminate, main_text, near_dup, pieces, quality, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -63,6 +63,11 @@ def op3(spark, sf_dir):
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
 
 
+@_query("op4_piece_round_trip")
+def op4(spark, sf_dir):
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 @_query("op5_warc_round_trip")
 def op5(spark, sf_dir):
     path = _new_folder(spark, "warc")
