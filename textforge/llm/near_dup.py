@@ -236,3 +236,21 @@ def near_duplicates(docs: DataFrame, s: NearDupSettings = NearDupSettings(), id_
     alone = signed.where("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("_c"))
     return out.union(alone).select(F.col("id").alias("doc_id"), "n_shingles", F.col("_c").alias("component_id"),
                                    F.coalesce(F.col("id") == F.col("_c"), F.lit(True)).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, s: NearDupSettings = NearDupSettings(), small: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` whose document stays, with all their columns.
+
+    Of each group of near duplicates the smallest doc_id stays; of rows that repeat a doc_id and
+    its text, one.  The list of dropped ids is broadcast if it is short, else joined by a shuffle.
+    """
+    dropped = materialize(near_duplicates(docs.select("doc_id", "text"), s).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct())
+    repeated = materialize(docs.groupBy(F.col("doc_id").alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 AND _repeated IS NOT NULL").select("_repeated"))
+    dropped_side = F.broadcast(dropped) if dropped.count() <= small else dropped
+    kept = docs.join(dropped_side, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    n = repeated.count()
+    if not n:
+        return kept
+    once = F.broadcast(repeated) if n <= small else repeated
+    single = kept.join(once, kept["doc_id"] == repeated["_repeated"], "left_anti")
+    return single.union(kept.join(once, kept["doc_id"] == repeated["_repeated"], "left_semi").dropDuplicates(["doc_id", "text"]))

@@ -166,6 +166,15 @@ def battery(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
 _SCANNED = "id long, starts array<int>, ends array<int>, kinds array<int>, scores array<double>"
 
 
+def _all_spans(raw: np.ndarray, breaks: np.ndarray, s: SecretSettings):
+    """(start, end, kind, score) in bytes of all base spans and candidates, unsorted."""
+    parts = [(a, b, np.full(len(a), k), np.zeros(len(a))) for k, (a, b) in enumerate(base_spans(raw, breaks))]
+    a, b = _runs(_KEY[raw], breaks, s.min_length)
+    if len(a):
+        parts.append((a, b, np.full(len(a), 3), battery(raw, a, b)[0]))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def _scan(s: SecretSettings):
     names = ["id", "starts", "ends", "kinds", "scores"]
 
@@ -174,11 +183,7 @@ def _scan(s: SecretSettings):
             raw, breaks = arrays.utf8(arrays.text_array(batch.column("text")))
             # The number of code points before each byte.
             points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80, dtype=np.int64)])
-            parts = [(a, b, np.full(len(a), k), np.zeros(len(a))) for k, (a, b) in enumerate(base_spans(raw, breaks))]
-            a, b = _runs(_KEY[raw], breaks, s.min_length)
-            if len(a):
-                parts.append((a, b, np.full(len(a), 3), battery(raw, a, b)[0]))
-            start, end, kind, score = (np.concatenate(x) for x in zip(*parts))
+            start, end, kind, score = _all_spans(raw, breaks, s)
             owner = np.searchsorted(breaks, start, side="right") - 1
             order = np.lexsort((kind, start, owner))
             start, end, kind, score, owner = (x[order] for x in (start, end, kind, score, owner))
@@ -261,3 +266,51 @@ def digest_columns(found: DataFrame) -> DataFrame:
 
     base = F.filter("spans", lambda x: x["kind"] != "random")
     return found.select("doc_id", *[number(k) for k in KINDS], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+MARK = b"[SECRET]"
+
+
+def _redacted(texts: pa.Array, cuts: dict[int, float], s: SecretSettings) -> pa.Array:
+    raw, breaks = arrays.utf8(texts)
+    start, end, kind, score = _all_spans(raw, breaks, s)
+    # Candidates are ASCII, so their length in bytes is that in code points.
+    width = np.clip(np.floor(np.log2(np.maximum(end - start, 1) / 16.0)), None, 8).astype(int)
+    least = np.array([cuts.get(int(w), math.inf) for w in width])
+    taken = (kind < 3) | (np.floor(score / s.per_bin) * s.per_bin >= least - 1e-9)
+    owner = np.searchsorted(breaks, start, side="right") - 1
+    out = texts.to_pylist()
+    buffer = raw.tobytes()
+    for k in np.unique(owner[taken]).tolist():
+        low, high = int(breaks[k]), int(breaks[k + 1])
+        parts, at = [], low
+        for a, b in sorted(zip(start[taken & (owner == k)].tolist(), end[taken & (owner == k)].tolist())):
+            if a >= at:
+                parts += [buffer[at:a], MARK]
+            at = max(at, b)
+        out[k] = b"".join([*parts, buffer[at:high]]).decode()
+    return pa.array(out, pa.string())
+
+
+def redact(docs: DataFrame, s: SecretSettings = SecretSettings()) -> DataFrame:
+    """``docs`` with every secret of its texts replaced by a mark, and n_chars as it then is.
+
+    Null texts stay null.  All columns and rows stay.
+    """
+    scanned = materialize(arrays.text_rows(docs).mapInArrow(_scan(s), _SCANNED))
+    cuts = _threshold(scanned, s)
+    names, text_at = docs.columns, docs.columns.index("text")
+
+    def run(batches):
+        for batch in arrays.chunks(batches, limit=8 << 20):
+            text = batch.column(text_at)
+            made = _redacted(arrays.text_array(text), cuts, s)
+            made = pa.compute.if_else(text.is_valid(), made, pa.scalar(None, pa.string()))
+            columns = [made if k == text_at else batch.column(k) for k in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    out = docs.mapInArrow(run, docs.schema)
+    if "n_chars" not in names:
+        return out
+    counted = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", counted)
