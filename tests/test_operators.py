@@ -8,7 +8,7 @@ from textforge.operators.examples import PairSettings, chunk_ranges, create_exam
 from textforge.operators.features import assemble_features, embedding_lookup, feature_records
 from textforge.operators.headers import drop_doc_headers
 from textforge.operators.ordering import block_of, carried, dense_index, value_cuts
-from test_functions import reader
+from test_functions import HEADER_CASES, header_properties
 
 
 def test_dense_index_is_a_permutation(spark):
@@ -49,12 +49,16 @@ def test_drop_doc_headers(spark):
     rng = np.random.default_rng(5)
     kinds = ["<doc a>", "<doc b>", "</doc>", "", "body"]
     files = {f: [kinds[i] for i in rng.integers(0, 5, 60)] for f in range(30)}
+    files |= {100 + k: lines for k, (lines, _) in enumerate(HEADER_CASES)}
     rows = spark.createDataFrame([(f, i, x) for f, ls in files.items() for i, x in enumerate(ls)], "file int, line_no long, line string")
     for block in (4, 1000):
         got = {}
         for r in drop_doc_headers(rows, "file", block).orderBy("file", "line_no").collect():
             got.setdefault(r.file, []).append(r.line)
-        assert all(got.get(f, []) == reader(ls) for f, ls in files.items())
+        for k, (_, want) in enumerate(HEADER_CASES):
+            assert got.get(100 + k, []) == want
+        for f in range(30):
+            header_properties(files[f], got.get(f, []))
 
 
 def test_quota_and_sample(spark):
@@ -266,6 +270,10 @@ def test_features(spark):
     table = spark.createDataFrame([(i, [float(i), -float(i)]) for i in range(4)], "id long, vector array<double>")
     ids = spark.createDataFrame([(7, [3, 0, 3])], "k int, ids array<long>")
     assert embedding_lookup(ids, table, "k").first()["vectors"] == [[3, -3], [0, 0], [3, -3]]
+    empty = spark.createDataFrame([(7, []), (8, [1])], "k int, ids array<long>")
+    assert {r.k: r.vectors for r in embedding_lookup(empty, table, "k").collect()} == {7: [], 8: [[1, -1]]}
+    with pytest.raises(Exception, match="no vector for id 9"):
+        embedding_lookup(spark.createDataFrame([(7, [3, 9])], "k int, ids array<long>"), table, "k").collect()
     acts = spark.createDataFrame([(2, i, [[i + 0.12345678], [0.5], [2.0], [i * 1.0]]) for i in range(9)],
                                  "unique_id int, pos int, layers array<array<double>>")
     feats = assemble_features(rows, 20, "[CLS]", "[SEP]").select("unique_id", "tokens").where("unique_id = 2")
@@ -273,3 +281,5 @@ def test_features(spark):
     assert record.linex_index == 2 and [f.token for f in record.features] == got[2][0]
     assert record.features[3]["layers"][0]["values"] == [3.0] and record.features[3]["layers"][1]["values"] == [3.123457]
     assert [x["index"] for x in record.features[0]["layers"]] == [-1, 0]
+    with pytest.raises(Exception, match="no activations for 2 4"):
+        feature_records(feats, acts.where("pos <> 4"), [-1, 0]).collect()

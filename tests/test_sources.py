@@ -81,12 +81,12 @@ def test_tfrecord_round_trip(spark, tmp_path):
     rows, path = example_rows(spark, 500), str(tmp_path / "out")
     tfrecord.write_tfrecord(rows, path, 4)
     names = sorted(os.path.basename(p) for p in glob.glob(path + "/*"))
-    assert names == [f"part-{i:05d}" for i in range(4)]
+    assert [n[:10] for n in names] == [f"part-{i:05d}" for i in range(4)] and len({n[10:] for n in names}) == 1
     back = tfrecord.read_tfrecord(spark, path, 16, 3)
     key = [F.col(c).cast("array<string>") for c in tfrecord.FEATURES]
     want = sorted(str(tuple(r)) for r in rows.select(*key).collect())
     assert sorted(str(tuple(r)) for r in back.select(*key).collect()) == want
-    first = [r.input_ids for r in tfrecord.read_tfrecord(spark, path + "/part-00001", 16, 3).collect()]
+    first = [r.input_ids for r in tfrecord.read_tfrecord(spark, path + "/part-00001*", 16, 3).collect()]
     assert first == [r.input_ids for r in rows.where("idx % 4 = 1").orderBy("idx").collect()]
     tfrecord.write_tfrecord(rows.where("idx < 10"), path, 2, mode="overwrite")
     assert tfrecord.read_tfrecord(spark, path, 16, 3).count() == 10
@@ -98,7 +98,7 @@ def test_tfrecord_errors(spark, tmp_path):
     tfrecord.write_tfrecord(example_rows(spark, 3), path, 1)
     with pytest.raises(Exception, match="wrong length"):
         tfrecord.read_tfrecord(spark, path, 17, 3).collect()
-    name = path + "/part-00000"
+    name, = glob.glob(path + "/part-00000*")
     data = bytearray(open(name, "rb").read())
     data[40] ^= 1
     open(name, "wb").write(data)
@@ -173,17 +173,42 @@ def test_prepare_corpus(spark, tmp_path, fragment):
     assert whole.count() == (80 if fragment else 40)
 
 
-@pytest.mark.parametrize("fragment", [True, False])
-def test_large_files_give_the_same_articles(spark, tmp_path, fragment):
-    for f in range(3):
-        put(tmp_path, f"wiki_{f}", extract(6, 10 * f) + "<doc a>\n<doc b>\n\nTail [[File:q]]. Last one.\n</doc>\n")
-    s = corpus.CorpusSettings(fragment_on_blank=fragment)
+def test_file_sizes_do_not_change_articles(spark, tmp_path):
+    body = extract(6, 0) + "<doc a>\n<doc b>\n\nTail [[File:q]]. Last one.\n</doc>\n"
+    put(tmp_path, "wiki_1", body)
+    put(tmp_path, "wiki_2", body * 400)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        rows = corpus.corpus_articles(spark, f"{tmp_path}/wiki_*", corpus.CorpusSettings()).orderBy("file_id", "article_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    one, many = ([r.text for r in rows if r.file_id == f] for f in (0, 1))
+    assert many[: len(one) - 1] == one[:-1] and len(many) > 400 and [r.article_no for r in rows if r.file_id == 1] == list(range(len(many)))
 
-    def texts(df):
-        return sorted((r.file_id, r.text.strip()) for r in df.collect() if r.text.strip())
 
-    whole = texts(corpus.corpus_articles(spark, f"{tmp_path}/wiki_*", s))
-    assert len(whole) >= 18 and texts(corpus.articles_from_lines(spark, f"{tmp_path}/wiki_*", s)) == whole
+def test_tfrecord_append_patterns_and_empty_files(spark, tmp_path):
+    rows, path = example_rows(spark, 20), str(tmp_path / "t")
+    for _ in range(2):
+        tfrecord.write_tfrecord(rows, path, 3)
+    assert tfrecord.read_tfrecord(spark, path, 16, 3).count() == 40 and len(glob.glob(f"{path}/part-*")) == 6
+    put(path, "notes.txt", "kept")
+    tfrecord.write_tfrecord(rows.where("idx < 2"), path, 5, mode="overwrite")
+    assert len(glob.glob(f"{path}/part-*")) == 5 and os.path.exists(f"{path}/notes.txt")
+    tfrecord.write_tfrecord(rows, str(tmp_path / "u"), 2)
+    assert tfrecord.read_tfrecord(spark, f"{path}/part-*,{tmp_path}/u", 16, 3).count() == 22
+    assert tfrecord.read_tfrecord(spark, [f"{path}/part-0000[01]*"], 16, 3).count() == 2
+    with pytest.raises(ValueError):
+        tfrecord.read_tfrecord(spark, f"{tmp_path}/none*", 16, 3)
+
+
+def test_failed_overwrite_keeps_the_old_files(spark, tmp_path):
+    rows, path = example_rows(spark, 20), str(tmp_path / "t")
+    tfrecord.write_tfrecord(rows, path, 2)
+    bad = rows.withColumn("input_ids", F.when(F.col("idx") == 7, F.raise_error(F.lit("bad row")).cast("array<int>")).otherwise(F.col("input_ids")))
+    with pytest.raises(Exception, match="bad row"):
+        tfrecord.write_tfrecord(bad, path, 2, mode="overwrite")
+    assert tfrecord.read_tfrecord(spark, f"{path}/part-*", 16, 3).count() == 20
 
 
 def test_generate_and_pick(spark, tmp_path):

@@ -16,6 +16,7 @@ from textforge.storage import spread
 
 N_TEST = 130
 PACK_LIMIT = 9000
+SMALL_INVENTORY = 200_000  # files
 
 FILES_SQL = """files AS (SELECT (row_number() OVER (ORDER BY source) - 1) AS file_id, source, size, n_articles
   FROM (SELECT source, sum(n_chars)::BIGINT AS size, count(*) AS n_articles FROM documents GROUP BY source))"""
@@ -43,10 +44,14 @@ def quotas(spark, sf_dir):
 
 
 def articles(spark, sf_dir, *columns):
+    """One row per document; ``columns`` are computed before the join, and a short inventory is broadcast,
+    so that no text moves to the few keys of the inventory."""
     docs = documents(spark, sf_dir)
-    rows = spread(docs, "doc_id") if columns else docs
-    return rows.join(files(spark, sf_dir).select("file_id", "source"), "source").select(
-        "file_id", F.col("doc_id").alias("article_no"), *columns)
+    rows = (spread(docs, "doc_id") if columns else docs).select("source", F.col("doc_id").alias("article_no"), *columns)
+    inventory = files(spark, sf_dir).select("file_id", "source")
+    if inventory.count() <= SMALL_INVENTORY:
+        inventory = F.broadcast(inventory)
+    return rows.join(inventory, "source").select("file_id", *[c for c in rows.columns if c != "source"])
 
 
 def sample(spark, sf_dir):

@@ -106,17 +106,19 @@ def vocab_ids(spark, sf_dir):
 
 
 PAIR_LINES_SQL = """pair_lines AS (
-  SELECT conv_id * 1000 + turn AS line_no, CASE WHEN turn % 3 = 2 THEN a ELSE a || ' ||| ' || b END AS line
-  FROM (SELECT conv_id, turn, string_split(text, chr(10))[1] AS a,
-               coalesce(string_split(text, chr(10))[2], role || ' ||| ' || role) AS b FROM conversations))"""
+  SELECT conv_id * 1000 + turn AS line_no, CASE WHEN turn % 3 = 2 THEN replace(text, chr(10), ' ') ELSE a || ' ||| ' || b END AS line
+  FROM (SELECT conv_id, turn, text, string_split(text, chr(10))[1] AS a,
+               CASE WHEN contains(text, chr(10)) THEN array_to_string(string_split(text, chr(10))[2:], ' ') ELSE role || ' ||| ' || role END AS b
+        FROM conversations))"""
 
 
 def pair_lines(spark, sf_dir):
     parts = F.split("text", "\n")
-    a, b = F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.concat_ws(" ||| ", "role", "role"))
+    rest = F.array_join(F.slice(parts, F.lit(2), F.size(parts)), " ")
+    a, b = F.get(parts, F.lit(0)), F.when(F.size(parts) > 1, rest).otherwise(F.concat_ws(" ||| ", "role", "role"))
     return table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("line_no"),
-        F.when(F.col("turn") % 3 == 2, a).otherwise(F.concat(a, F.lit(" ||| "), b)).alias("line"))
+        F.when(F.col("turn") % 3 == 2, F.replace("text", F.lit("\n"), F.lit(" "))).otherwise(F.concat(a, F.lit(" ||| "), b)).alias("line"))
 
 
 PAIRS_SQL = f"""{PAIR_LINES_SQL},
@@ -164,10 +166,12 @@ def tfrecord_roundtrip(spark, sf_dir):
         total("next_sentence_labels").alias("random_sum"))
 
 
-@query("utf8_ignore")
+@query("utf8_ignore", "SELECT doc_id, md5(text) AS text_md5, true AS same FROM documents")
 def utf8_ignore(spark, sf_dir):
-    """Every text with a stray 0xFF byte at its end decodes to itself."""
-    raw = F.concat(F.encode("text", "UTF-8"), F.unhex(F.lit("FF")))
+    """Every text with stray bytes at its start, in its middle and at its end decodes to itself."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    parts = [F.encode(F.substring("text", F.lit(1), half), "UTF-8"), F.encode(F.substring("text", half + 1, F.length("text")), "UTF-8")]
+    raw = F.concat(F.unhex(F.lit("FF80")), parts[0], F.unhex(F.lit("C3FE")), parts[1], F.unhex(F.lit("E282")))
     return documents(spark, sf_dir).select("doc_id", F.md5(decode_utf8_ignore(raw)).alias("text_md5"),
                                            (decode_utf8_ignore(raw) == F.col("text")).alias("same"))
 

@@ -119,14 +119,12 @@ def full_tokens(spark, sf_dir):
     return tokenized(spark, sf_dir).select("doc_id", V.id_tokens(F.col("ids"), words).alias("t")).select("doc_id", *digest(F.col("t")))
 
 
-@query("tokens_to_ids", S.with_ctes(S.VOCAB, """
-SELECT doc_id, count(*) AS n, sum(token_id)::BIGINT AS id_sum FROM (
-  SELECT doc_id, unnest(words) AS word FROM sent_words) JOIN vocab ON token = substr(word, 1, 1) GROUP BY doc_id"""))
+@query("tokens_to_ids", S.with_ctes(S.TOKENS, """
+SELECT doc_id, len(ids)::BIGINT AS n, list_sum(ids)::BIGINT AS id_sum FROM docs"""))
 def tokens_to_ids(spark, sf_dir):
-    """First characters of all words looked up in the vocabulary."""
-    chars = texts(spark, sf_dir).select("doc_id", F.explode_outer(F.flatten(sentence_words(F.col("text")))).alias("word")).select(
-        "doc_id", F.substring("word", 1, 1).alias("token")).where(F.col("token").isNotNull())
-    return V.tokens_to_ids(chars, vocab_table(spark, sf_dir)).groupBy("doc_id").agg(
+    """All pieces of all words looked up in the vocabulary."""
+    pieces = tokenized(spark, sf_dir).select("doc_id", F.explode(V.id_tokens(F.col("ids"), vocab(spark, sf_dir))).alias("token"))
+    return V.tokens_to_ids(pieces, vocab_table(spark, sf_dir)).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("token_id").cast("long").alias("id_sum"))
 
 

@@ -71,7 +71,8 @@ def layer_norm(spark, sf_dir):
 @query("embedding_lookup", """
 WITH ids AS (SELECT conv_id, unnest(range(12)) AS pos, unnest(list_transform(range(12), lambda p: (conv_id * 31 + p * 17) % n)) AS id
   FROM (SELECT DISTINCT conv_id FROM conversations), (SELECT count(*) AS n FROM embeddings))
-SELECT conv_id, count(*) AS n, round(sum((pos + 1) * embedding[1]::DOUBLE), 6) AS first_sum, round(sum((pos + 1) * embedding[64]::DOUBLE), 6) AS last_sum
+SELECT conv_id, count(*) AS n, round(sum((pos + 1) * embedding[1]::DOUBLE), 6) AS first_sum,
+  round(sum((pos + 1) * list_sum(list_transform(embedding, lambda x, k: x::DOUBLE * k))), 4) AS all_sum
 FROM ids JOIN embeddings ON vec_id = id GROUP BY conv_id""")
 def embedding_rows(spark, sf_dir):
     found = table(spark, sf_dir, "embeddings")
@@ -80,10 +81,12 @@ def embedding_rows(spark, sf_dir):
         "conv_id", F.transform(F.sequence(F.lit(0), F.lit(11)), lambda p: (F.col("conv_id") * 31 + p * 17) % n).alias("ids"))
     rows = embedding_lookup(ids, found.select(F.col("vec_id").alias("id"), V.as_double(F.col("embedding")).alias("vector")), "conv_id")
 
-    def at(k):
-        return F.round(V.array_total(F.transform("vectors", lambda v, i: F.element_at(v, k) * (i + 1))), 6)
+    def total(value):
+        return V.array_total(F.transform("vectors", lambda v, i: value(v) * (i + 1)))
 
-    return rows.select("conv_id", F.size("vectors").cast("long").alias("n"), at(1).alias("first_sum"), at(-1).alias("last_sum"))
+    every = total(lambda v: V.array_total(F.transform(v, lambda x, k: x * (k + 1))))
+    return rows.select("conv_id", F.size("vectors").cast("long").alias("n"), F.round(total(lambda v: F.get(v, F.lit(0))), 6).alias("first_sum"),
+                       F.round(every, 4).alias("all_sum"))
 
 
 @query("select_layers", f"""WITH {VEC} SELECT vec_id, round(v[64], 9) AS a, round(v[63], 9) AS b, round(v[1], 9) AS c, round(v[3], 9) AS d FROM vectors""")

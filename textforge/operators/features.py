@@ -22,20 +22,27 @@ def assemble_features(rows: DataFrame, seq_length: int, cls, sep) -> DataFrame:
 
 
 def embedding_lookup(rows: DataFrame, table: DataFrame, key: str, ids: str = "ids") -> DataFrame:
-    """Vectors of an id list in order; one row per input row.
+    """Vectors of an id list in order; one row per input row, empty lists included.
+
+    An id that the table lacks is an error.
 
     ``table``: (id, vector).  Rows are spread by position, so a long list or a frequent id
     does not gather in one task until the final list is rebuilt per input row.
     """
-    spread = rows.select(key, F.posexplode(ids).alias("pos", "id"))
-    found = spread.join(table, "id")
-    return found.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "vector"))).alias("_v")).select(
+    spread = rows.select(key, F.posexplode_outer(ids).alias("pos", "id"))
+    missing = F.raise_error(F.concat(F.lit("no vector for id "), F.col("id").cast("string")))
+    found = spread.join(table.withColumn("_there", F.lit(True)), "id", "left").withColumn(
+        "vector", F.when(F.col("pos").isNull() | F.col("_there"), F.col("vector")).otherwise(missing))
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "vector"))
+    return found.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("_v")).select(
         key, F.transform("_v", lambda x: x.vector).alias("vectors"))
 
 
 def feature_records(features: DataFrame, activations: DataFrame, layers: list[int], digits: int = 6) -> DataFrame:
     """(linex_index, features) for export: every real token with its chosen layers.
 
+    A token without activations is an error.
+
     ``features``: (unique_id, tokens); ``activations``: (unique_id, pos, layers array<array<double>>).
     """
     def chosen(all_layers):
@@ -46,7 +53,8 @@ def feature_records(features: DataFrame, activations: DataFrame, layers: list[in
 
     # posexplode would infer a filter on tokens and evaluate them twice; tokens are never empty.
     tokens = features.select("unique_id", F.posexplode_outer("tokens").alias("pos", "token"))
-    joined = tokens.join(activations, ["unique_id", "pos"])
+    missing = F.raise_error(F.concat_ws(" ", F.lit("no activations for"), F.col("unique_id").cast("string"), F.col("pos").cast("string")))
+    joined = tokens.join(activations, ["unique_id", "pos"], "left").withColumn("layers", F.coalesce("layers", missing))
     return joined.groupBy(F.col("unique_id").cast("int").alias("linex_index")).agg(
         F.sort_array(F.collect_list(F.struct("pos", F.struct("token", chosen(F.col("layers")).alias("layers")).alias("f")))).alias("_f")
     ).select("linex_index", F.transform("_f", lambda x: x.f).alias("features"))

@@ -10,16 +10,14 @@ from pyspark.sql import functions as F
 from textforge.functions import markup
 from textforge.functions.sentences import mark_boundaries, strip
 from textforge.operators import holdout, packing
-from textforge.operators.headers import drop_doc_headers
-from textforge.operators.ordering import carried
 from textforge.sources import sinks
-from textforge.sources.text import list_files, read_lines, read_texts, split_articles
+from textforge.sources.text import list_files, read_texts, split_articles
 from textforge.storage import materialize
 
 _HEADER = "\ufdd3"  # stands for a header's blank line while cleaning; never part of interchanged text
 
 
-MAX_WHOLE_FILE = 64 << 20
+SMALL_INVENTORY = 200_000  # files
 
 
 @dataclass(frozen=True)
@@ -51,34 +49,19 @@ def clean_extract(text, fragment_on_blank: bool = True):
     return sentence_text(F.replace(dense, F.lit(_HEADER), F.lit("")))
 
 
-def articles_from_lines(spark: SparkSession, patterns, s: CorpusSettings) -> DataFrame:
-    """corpus_articles for files too large for one row: the work is split by file blocks.
+def corpus_articles(spark: SparkSession, patterns, s: CorpusSettings) -> DataFrame:
+    """(file_id, article_no, text) of all extract files: one pass, no shuffle of the text.
 
-    Articles are numbered by the blank lines before them, and empty ones are left out.
+    A file is one row, at any size; Spark refuses a file above 2 GB, so split such extracts.
     """
-    per_block = 100_000
-    bare = drop_doc_headers(read_lines(spark, patterns), "path", per_block).where(markup.keeps_line(F.col("line")))
-    cleaned = bare.select("path", "line_no", (F.col("line") == "").alias("_header"), F.array_join(F.transform(
-        F.split(mark_boundaries(markup.clean_markup(F.col("line"))), "\n"), strip), "\n").alias("line"))
-    blank = F.col("line") == ""
-    cuts = F.col("_header") | blank if s.fragment_on_blank else F.col("_header")
-    numbered = carried(cleaned, ["path"], F.floor(F.col("line_no") / per_block), ["line_no"], cuts.cast("long"), "article_no", "sum")
-    rows = numbered.where(~blank).groupBy("path", "article_no").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_l"))
-    files = list_files(spark, patterns).select("file_id", F.regexp_replace("path", r"^file:/+", "/").alias("path"))
-    return rows.withColumn("path", F.regexp_replace("path", r"^file:/+", "/")).join(files, "path").select(
-        "file_id", "article_no", F.array_join(F.transform("_l", lambda x: x.line), "\n").alias("text"))
-
-
-def corpus_articles(spark: SparkSession, patterns, s: CorpusSettings) -> DataFrame:
-    """(file_id, article_no, text) of all extract files: one pass, no shuffle of the text."""
     files = list_files(spark, patterns)
-    if (files.agg(F.max("size")).first()[0] or 0) > MAX_WHOLE_FILE:
-        return articles_from_lines(spark, patterns, s)
     texts = read_texts(spark, patterns).select(
         F.regexp_replace("path", r"^file:/+", "/").alias("path"), clean_extract(F.col("text"), s.fragment_on_blank).alias("text"))
-    # The inventory is what Spark's listing already holds on the driver.
+    # The inventory is what Spark's listing already holds on the driver; a short one is broadcast,
+    # so that the text stays where it was read.
     known = files.select("file_id", F.regexp_replace("path", r"^file:/+", "/").alias("path"))
+    if known.count() <= SMALL_INVENTORY:
+        known = F.broadcast(known)
     return texts.join(known, "path").select(
         "file_id", F.posexplode_outer(split_articles(F.col("text"))).alias("article_no", "text"))
 

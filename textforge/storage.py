@@ -29,12 +29,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write df once and read it back, so several consumers share one evaluation.
 
     A Parquet table keeps column pruning and statistics, and survives lost executors.
-    Without a shared folder the plan stays lazy and is evaluated by each consumer.
+    A cluster must name a shared folder: without one every consumer would evaluate the plan anew.
     """
     spark = df.sparkSession
     folder = shared_folder(spark)
     if folder is None:
-        return df
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
