@@ -59,20 +59,30 @@ def _hashed_words(texts: pa.Array, s: LatentSettings) -> tuple[np.ndarray, np.nd
     """(offsets, 64-bit hashes) of each text's words: lower case, signs left out."""
     offsets, codes, dictionary = arrays.plain_words(texts)
     lowered = pc.utf8_lower(dictionary)
-    return offsets, arrays.hashes(lowered, s.seed)[codes] if len(codes) else np.empty(0, np.uint64)
+    return offsets, arrays.byte_hashes(lowered, s.seed)[codes] if len(codes) else np.empty(0, np.uint64)
 
 
 def _terms(hashed: np.ndarray, s: LatentSettings) -> np.ndarray:
     return (arrays.mix(hashed) % np.uint64(s.terms)).astype(np.int64)
 
 
-def _passages(offsets: np.ndarray, s: LatentSettings) -> np.ndarray:
-    """The number of each word's passage; passages do not cross documents."""
-    n = np.diff(offsets)
-    per_text = -(-n // s.fit_words)
+def _passage_terms(offsets: np.ndarray, hashed: np.ndarray, s: LatentSettings) -> tuple[np.ndarray, np.ndarray, int]:
+    """(passage, term) of the distinct terms of every passage, in this order, and the number of passages.
+
+    Passages do not cross documents.  A term counts once in a passage, so that no repeated
+    word makes a direction of its own.
+    """
+    per_text = -(-np.diff(offsets) // s.fit_words)
     first = np.cumsum(per_text) - per_text
     owner = arrays.spans_of(offsets)
-    return first[owner] + (np.arange(offsets[-1]) - offsets[owner]) // s.fit_words
+    place = np.arange(offsets[-1]) - offsets[owner]
+    total = int(per_text.sum())
+    rows = np.full((total, s.fit_words), s.terms, np.uint16 if s.terms < 1 << 16 else np.int64)
+    rows[first[owner] + place // s.fit_words, place % s.fit_words] = _terms(hashed, s)
+    rows.sort(axis=1)
+    fresh = rows < s.terms
+    fresh[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+    return np.nonzero(fresh)[0], rows[fresh], total
 
 
 def _frequencies(s: LatentSettings):
@@ -82,10 +92,9 @@ def _frequencies(s: LatentSettings):
             offsets, hashed = _hashed_words(arrays.text_array(batch.column("text")), s)
             if not len(hashed):
                 continue
-            passage = _passages(offsets, s)
-            pairs = np.unique(passage * s.terms + _terms(hashed, s))
-            found += np.bincount(pairs % s.terms, minlength=s.terms)
-            total += int(passage[-1]) + 1
+            _, terms, passages = _passage_terms(offsets, hashed, s)
+            found += np.bincount(terms, minlength=s.terms)
+            total += passages
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, s.terms)), pa.array(np.append(total, found))], names=["term", "n"])
 
     return run
@@ -112,9 +121,7 @@ def _sketch(idf: np.ndarray, s: LatentSettings):
             offsets, hashed = _hashed_words(arrays.text_array(batch.column("text")), s)
             if not len(hashed):
                 continue
-            # A term counts once in a passage, so that no repeated word makes a direction of its own.
-            pairs = np.unique(_passages(offsets, s) * s.terms + _terms(hashed, s))
-            terms, passage = pairs % s.terms, pairs // s.terms
+            passage, terms, _ = _passage_terms(offsets, hashed, s)
             starts = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
             norm = np.sqrt(np.add.reduceat(weight[terms] ** 2, starts)) + 1e-6
             order = np.argsort(terms, kind="stable")
@@ -228,8 +235,10 @@ def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
     def run(batches):
         for batch in arrays.joined(batches, limit=CHUNK):
             offsets, hashed = _hashed_words(arrays.text_array(batch.column("text")), s)
-            sums = np.zeros((len(hashed) + 1, latent.shape[1]), np.float64)
-            np.cumsum(latent[_terms(hashed, s)], axis=0, dtype=np.float64, out=sums[1:])
+            terms = _terms(hashed, s)
+            sums = np.zeros((latent.shape[1], len(hashed) + 1), np.float64)
+            for running, values in zip(sums, latent.T):  # one direction at a time, along memory
+                np.cumsum(np.take(values, terms), dtype=np.float64, out=running[1:])
             found = []
             for chosen in classes:
                 width = int(np.median(items.lengths[chosen]))
@@ -242,10 +251,10 @@ def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
                 high = np.minimum(low + width, offsets[owner + 1])
                 for a in range(0, len(low), 1 << 17):
                     b = min(a + (1 << 17), len(low))
-                    vector = (sums[high[a:b]] - sums[low[a:b]]).astype(np.float32)
-                    vector /= np.linalg.norm(vector, axis=1, keepdims=True) + 1e-9
+                    vector = np.stack([running[high[a:b]] - running[low[a:b]] for running in sums]).astype(np.float32)
+                    vector /= np.linalg.norm(vector, axis=0) + 1e-9
                     for c in range(0, len(chosen), 512):
-                        score = vector @ items.vectors[chosen[c : c + 512]].T
+                        score = vector.T @ items.vectors[chosen[c : c + 512]].T
                         w, p = np.nonzero(score >= s.cosine)
                         if len(w):
                             found.append((owner[a:b][w], low[a:b][w], high[a:b][w], chosen[c : c + 512][p], score[w, p]))
