@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import decontaminate, main_text, near_dup, pieces, quality, secrets, token_counts, token_files, topk, warc
+from textforge.llm import decontaminate, main_text, near_dup, pieces, quality, repeats, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -38,10 +38,10 @@ def _new_folder(spark, name: str) -> str:
 
 
 @_query("op1_exact_topk", """
-    WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
-               WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+               WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-                 CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+                 CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
           FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
     SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
@@ -99,3 +99,20 @@ def op9(spark, sf_dir):
 @_query("op10_near_duplicates")
 def op10(spark, sf_dir):
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_repeated_passages", """
+    WITH w AS (SELECT doc_id, rid, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+               FROM (SELECT doc_id, text, row_number() OVER () AS rid FROM documents)),
+    starts AS (SELECT rid, unnest(range(1, len(ws) - 33)) AS at FROM w WHERE len(ws) >= 35),
+    windows AS (SELECT rid, at, array_to_string(ws[at:at + 34], ' ') AS win FROM starts JOIN w USING (rid)),
+    counted AS (SELECT rid, at, count(*) OVER (PARTITION BY win) AS n FROM windows),
+    places AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS at, unnest(ws) AS word FROM w),
+    marked AS (SELECT p.rid, p.at, p.word, coalesce(max(CASE WHEN c.n > 1 THEN 1 ELSE 0 END) OVER (
+                   PARTITION BY p.rid ORDER BY p.at ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+               FROM places p LEFT JOIN counted c USING (rid, at)),
+    kept AS (SELECT rid, CAST(sum(gone) AS BIGINT) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY at) FILTER (WHERE gone = 0), '') AS t FROM marked GROUP BY rid)
+    SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (rid)""")
+def op12(spark, sf_dir):
+    return repeats.without_repeats(_table(spark, sf_dir, "documents"), with_text=False).withColumnRenamed("kept", "kept_sha256")
