@@ -40,6 +40,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that materialize wrote and that nothing reads any more."""
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("stage-"):
+            context = df.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Repartition an input of fewer partitions than cores; larger inputs stay as scanned.
 
