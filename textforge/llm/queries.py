@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import decontaminate, main_text, near_dup, pieces, quality, repeats, secrets, token_counts, token_files, topk, warc
+from textforge.llm import centroids, decontaminate, main_text, near_dup, pieces, quality, repeats, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -101,17 +101,41 @@ def op10(spark, sf_dir):
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def _cluster_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Rounds written out one after the other; a centroid is a list of components."""
+    nearest = """p{r} AS MATERIALIZED (SELECT v.rid, c.cl, CAST(list_sum(list_transform(range(1, {n}), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i]))) AS BIGINT) AS d FROM v, c{r} c),
+    a{r} AS MATERIALIZED (SELECT rid, d, cl FROM p{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, cl) = 1)"""
+    update = """s{q} AS (SELECT cl, i, sum(x) AS sx, count(*) AS n FROM (SELECT a.cl, unnest(v.e) AS x, unnest(range({dims})) AS i FROM a{r} a JOIN v USING (rid)) GROUP BY cl, i),
+    m{q} AS (SELECT cl, list(CAST((sx - ((sx % n) + n) % n) // n AS BIGINT) ORDER BY i) AS e FROM s{q} GROUP BY cl),
+    c{q} AS MATERIALIZED (SELECT c.cl, coalesce(m.e, c.e) AS e FROM c{r} c LEFT JOIN m{q} m USING (cl))"""
+    parts = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+             FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+             f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, e) - 1 AS cl, e FROM (
+             SELECT sha256('3:' || vec_id) AS h, e FROM v ORDER BY h, e LIMIT {k}))""", nearest.format(r=0, n=dims + 1)]
+    for r in range(rounds):
+        parts += [update.format(q=r + 1, r=r, dims=dims), nearest.format(r=r + 1, n=dims + 1)]
+    return f"""WITH {", ".join(parts)}
+    SELECT vec_id, CAST(cl AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY cl) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} c USING (cl)"""
+
+
+@_query("op11_centroid_clusters", _cluster_sql())
+def op11(spark, sf_dir):
+    return centroids.clustered(_table(spark, sf_dir, "embeddings"))
+
+
 @_query("op12_repeated_passages", """
     WITH w AS (SELECT doc_id, rid, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
                FROM (SELECT doc_id, text, row_number() OVER () AS rid FROM documents)),
-    starts AS (SELECT rid, unnest(range(1, len(ws) - 33)) AS at FROM w WHERE len(ws) >= 35),
-    windows AS (SELECT rid, at, array_to_string(ws[at:at + 34], ' ') AS win FROM starts JOIN w USING (rid)),
-    counted AS (SELECT rid, at, count(*) OVER (PARTITION BY win) AS n FROM windows),
-    places AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS at, unnest(ws) AS word FROM w),
-    marked AS (SELECT p.rid, p.at, p.word, coalesce(max(CASE WHEN c.n > 1 THEN 1 ELSE 0 END) OVER (
-                   PARTITION BY p.rid ORDER BY p.at ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
-               FROM places p LEFT JOIN counted c USING (rid, at)),
-    kept AS (SELECT rid, CAST(sum(gone) AS BIGINT) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY at) FILTER (WHERE gone = 0), '') AS t FROM marked GROUP BY rid)
+    starts AS (SELECT rid, unnest(range(1, len(ws) - 33)) AS pos FROM w WHERE len(ws) >= 35),
+    windows AS (SELECT rid, pos, array_to_string(list_slice(ws, pos, pos + 34), ' ') AS win FROM starts JOIN w USING (rid)),
+    counted AS (SELECT rid, pos, count(*) OVER (PARTITION BY win) AS n FROM windows),
+    places AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM w),
+    marked AS (SELECT p.rid, p.pos, p.word, coalesce(max(CASE WHEN c.n > 1 THEN 1 ELSE 0 END) OVER (
+                   PARTITION BY p.rid ORDER BY p.pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW), 0) AS gone
+               FROM places p LEFT JOIN counted c USING (rid, pos)),
+    kept AS (SELECT rid, CAST(sum(gone) AS BIGINT) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0), '') AS t FROM marked GROUP BY rid)
     SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
     FROM w LEFT JOIN kept USING (rid)""")
 def op12(spark, sf_dir):
