@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from textforge.llm import centroids, decontaminate, main_text, near_dup, pieces, quality, repeats, secrets, token_counts, token_files, topk, warc
+from textforge.llm import centroids, decontaminate, divergence, main_text, near_dup, pieces, quality, repeats, secrets, token_counts, token_files, topk, warc
 from textforge.storage import shared_folder
 
 QUERIES: dict = {}
@@ -140,3 +140,29 @@ def op11(spark, sf_dir):
     FROM w LEFT JOIN kept USING (rid)""")
 def op12(spark, sf_dir):
     return repeats.without_repeats(_table(spark, sf_dir, "documents"), with_text=False).withColumnRenamed("kept", "kept_sha256")
+
+
+@_query("op13_source_divergence", """
+    WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                 regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+          FROM documents),
+    t AS MATERIALIZED (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+    kept AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+    g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+    c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    v AS (SELECT lang, count(*) AS v, sum(total) AS nl FROM kept GROUP BY lang),
+    m AS MATERIALIZED (SELECT g.lang, g.source, coalesce(v, 0) AS v, nl, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0) AS ns
+          FROM g LEFT JOIN v USING (lang)),
+    p AS MATERIALIZED (SELECT m.lang, m.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 2) // (m.ns + 2 * m.v) AS p,
+                 1 + 1000000000 * (k.total + 2) // (m.nl + 2 * m.v) AS q
+          FROM m JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    found AS (SELECT * FROM pairs UNION ALL
+              SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q),
+    r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+    SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 10""")
+def op13(spark, sf_dir):
+    return divergence.audit(_table(spark, sf_dir, "documents"))
