@@ -76,8 +76,8 @@ def keeps_line(line: Column) -> Column:
 
 def drop_marked_lines(text: Column) -> Column:
     """keeps_line for a whole multi-line text."""
-    header = r"(?m)^<doc [^>\n]*>(?:\n|\z)"
-    category = r"(?m)^[^\n]*\[\[Category:[^\]\[\n]*\]\][^\n]*(?:\n|\z)"
+    header = r"(?md)^<doc [^>\n]*>(?:\n|\z)"
+    category = r"(?md)^[^\n]*\[\[Category:[^\]\[\n]*\]\][^\n]*(?:\n|\z)"
     gone = F.regexp_replace(F.regexp_replace(text, header, ""), category, "")
     # A dropped last line takes its separator with it.
     cut_end = gone.endswith("\n") & ~text.endswith("\n")
@@ -106,7 +106,7 @@ def clean_markup(text: Column) -> Column:
     return strip_tags(unwrap_links(text))
 
 
-_MARK = "\ufdd0"  # a Unicode noncharacter: never part of interchanged text
+_MARK = "\ufdd0"  # a Unicode noncharacter; where a text holds it, it is escaped
 
 
 def strip_headers(text: Column) -> Column:
@@ -115,9 +115,10 @@ def strip_headers(text: Column) -> Column:
     A regex scan pairs each header line with the line after it from left to right,
     which is exactly the keep/skip state of a sequential reader.
     """
-    one_newline = F.regexp_replace(text, r"\r\n|\r", "\n")
-    paired = F.regexp_replace(one_newline, r"(?m)^[^\n]*<doc[^\n]*(?:\n[^\n]*(?:\n|\z)|\z)", _MARK + "\n")
-    no_close = F.regexp_replace(paired, r"(?m)^[^\n]*</doc>[^\n]*(?:\n|\z)", "")
-    no_blank = F.regexp_replace(no_close, r"(?m)^\n", "")
-    no_tail = F.regexp_replace(no_blank, "(?<=\n)[^\n\ufdd0]\\z", "")
-    return F.replace(no_tail, F.lit(_MARK), F.lit(""))
+    one_newline = F.regexp_replace(F.replace(text, F.lit(_MARK), F.lit(_MARK + "0")), r"\r\n|\r", "\n")
+    paired = F.regexp_replace(one_newline, r"(?md)^[^\n]*<doc[^\n]*(?:\n[^\n]*(?:\n|\z)|\z)", _MARK + "1\n")
+    no_close = F.regexp_replace(paired, r"(?md)^[^\n]*</doc>[^\n]*(?:\n|\z)", "")
+    no_blank = F.regexp_replace(no_close, r"(?md)^\n", "")
+    # A last line of one character without its line break counts as empty.
+    no_tail = F.regexp_replace(no_blank, "(?:(?<=\n)|\\A)(?:[^\n\ufdd0]|\ufdd00)\\z", "")
+    return F.replace(F.replace(no_tail, F.lit(_MARK + "1"), F.lit("")), F.lit(_MARK + "0"), F.lit(_MARK))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textforge.functions.draws import order_key
+from textforge.storage import materialize
 
 
 def _cols(keys):
@@ -43,6 +44,22 @@ def dense_index(df: DataFrame, keys: list[str], seed: int, name: str = "idx", di
             .drop("_h", "_bucket", "_offset"))
 
 
+def sorted_index(df: DataFrame, keys: list[str], name: str = "idx") -> DataFrame:
+    """Dense 0-based index in the order of the keys, which must be unique for a fixed result.
+
+    Spark's range partitioning sorts the rows; they are numbered inside their partition and shifted by the counts of
+    the partitions before, one small row each.  No task sees more than its range.
+    """
+    ranged = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # A row per shuffle partition.
+    return (ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_offset") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_at", "_offset"))
+
+
 def value_cuts(df: DataFrame, order: str, rows_per_block: int = 1_000_000, max_blocks: int = 8192) -> list:
     """Equi-depth cut points of a numeric column: a bounded list, computed by one aggregate."""
     n = df.select(order).count()

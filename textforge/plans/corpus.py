@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textforge.functions import markup
+from textforge.functions.draws import let
+from textforge.functions.normalize import strip_bom
 from textforge.functions.sentences import mark_boundaries, strip
 from textforge.operators import holdout, packing
 from textforge.sources import sinks
+from textforge.sources.extracts import SEGMENT_BYTES, extract_articles
 from textforge.sources.text import list_files, read_texts, split_articles
 from textforge.storage import materialize
 
-_HEADER = "\ufdd3"  # stands for a header's blank line while cleaning; never part of interchanged text
-
+_HEADER = "\ufdd3"  # with a 1, a header's blank line while cleaning; where a text holds it, it is escaped
 
 SMALL_INVENTORY = 200_000  # files
+WHOLE_FILE_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,8 @@ class CorpusSettings:
     workers: int = 1
     seed: int = 12345
     fragment_on_blank: bool = True
+    whole_file_bytes: int = WHOLE_FILE_BYTES
+    segment_bytes: int = SEGMENT_BYTES
 
 
 def sentence_text(text):
@@ -41,29 +46,40 @@ def clean_extract(text, fragment_on_blank: bool = True):
     Lines emptied by the cleaning cut their article in two, as blank lines delimit articles;
     fragment_on_blank=False removes them and keeps the articles whole.
     """
-    bare = markup.drop_marked_lines(markup.strip_headers(text))
+    bare = markup.drop_marked_lines(markup.strip_headers(strip_bom(text)))
+    # The last line ends like all others.
+    closed = let(bare, lambda t: F.when((t != "") & ~t.endswith("\n"), F.concat(t, F.lit("\n"))).otherwise(t))
     if fragment_on_blank:
-        return sentence_text(markup.clean_markup(bare))
-    kept = markup.clean_markup(F.regexp_replace(bare, r"(?m)^\n", _HEADER + "\n"))
-    dense = F.regexp_replace(kept, r"(?m)^[ \t\r]*\n", "")
-    return sentence_text(F.replace(dense, F.lit(_HEADER), F.lit("")))
+        return sentence_text(markup.clean_markup(closed))
+    escaped = F.replace(closed, F.lit(_HEADER), F.lit(_HEADER + "0"))
+    kept = markup.clean_markup(F.regexp_replace(escaped, r"(?md)^\n", _HEADER + "1\n"))
+    dense = F.regexp_replace(kept, r"(?md)^[ \t\r]*\n", "")
+    return sentence_text(F.replace(F.replace(dense, F.lit(_HEADER + "1"), F.lit("")), F.lit(_HEADER + "0"), F.lit(_HEADER)))
+
+
+def _place(uri):
+    return F.regexp_replace(uri, r"^file:/+", "/")
 
 
 def corpus_articles(spark: SparkSession, patterns, s: CorpusSettings) -> DataFrame:
-    """(file_id, article_no, text) of all extract files: one pass, no shuffle of the text.
+    """(file_id, article_no, text) of all extract files.
 
-    A file is one row, at any size; Spark refuses a file above 2 GB, so split such extracts.
+    Files without any byte are not in Spark's listing and take no part.  A file of up to ``whole_file_bytes`` is one row and its text is never shuffled; larger files are read in parts by
+    extract_articles, with the same result.
     """
     files = list_files(spark, patterns)
-    texts = read_texts(spark, patterns).select(
-        F.regexp_replace("path", r"^file:/+", "/").alias("path"), clean_extract(F.col("text"), s.fragment_on_blank).alias("text"))
+    texts = read_texts(spark, patterns, s.whole_file_bytes).select(
+        _place("path").alias("path"), clean_extract(F.col("text"), s.fragment_on_blank).alias("text"))
+    found = texts.select("path", F.posexplode(split_articles(F.col("text"))).alias("article_no", "text")).withColumn("article_no", F.col("article_no").cast("long"))
     # The inventory is what Spark's listing already holds on the driver; a short one is broadcast,
     # so that the text stays where it was read.
-    known = files.select("file_id", F.regexp_replace("path", r"^file:/+", "/").alias("path"))
+    known = materialize(files.select("file_id", _place("uri").alias("path"), "size"))
+    n_large = known.where(F.col("size") > s.whole_file_bytes).count()
+    if n_large:
+        found = found.unionByName(extract_articles(spark, patterns, s.fragment_on_blank, s.whole_file_bytes, s.segment_bytes).withColumn("path", _place("path")))
     if known.count() <= SMALL_INVENTORY:
         known = F.broadcast(known)
-    return texts.join(known, "path").select(
-        "file_id", F.posexplode_outer(split_articles(F.col("text"))).alias("article_no", "text"))
+    return found.join(known, "path").select("file_id", "article_no", "text")
 
 
 def prepare_corpus(spark: SparkSession, patterns, out: str, s: CorpusSettings = CorpusSettings()) -> None:

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textforge.functions.sentences import strip
+from textforge.operators.ordering import sorted_index
 from textforge.operators.vocab import vocab_from_lines
 
+# Fixed value: the separator of two texts on a line.
 PAIR_PATTERN = r"^(.*) \|\|\| (.*)$"
 NEWLINE_PATTERN = r"\r\n|\r|\n"
 BROADCAST_BLOCKS = 100_000
@@ -18,13 +20,13 @@ def as_paths(patterns: str | list[str]) -> list[str]:
 
 
 def list_files(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
-    """(file_id, path, size): sorted, ids dense.
+    """(file_id, path, size, uri): sorted by path, ids dense; ``uri`` is the name that readers report.
 
-    The inventory comes from Spark's own file listing, which the driver holds anyway, so
-    one task may number it.  File contents are not read.
+    File contents are not read.
     """
-    found = spark.read.format("binaryFile").load(as_paths(patterns)).select("path", F.col("length").alias("size"))
-    return found.select((F.row_number().over(Window.orderBy("path")) - 1).alias("file_id"), "path", "size")
+    found = spark.read.format("binaryFile").load(as_paths(patterns)).select(
+        "path", F.col("length").alias("size"), F.col("_metadata.file_path").alias("uri"))
+    return sorted_index(found, ["path"], "file_id").select("file_id", "path", "size", "uri")
 
 
 def file_digests(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
@@ -58,9 +60,11 @@ def read_lines(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
     return _numbered(spark.read.text(as_paths(patterns)), "line_no", "line")
 
 
-def read_texts(spark: SparkSession, patterns: str | list[str]) -> DataFrame:
-    """(path, text): one row per file, for collections of small files."""
+def read_texts(spark: SparkSession, patterns: str | list[str], up_to: int | None = None) -> DataFrame:
+    """(path, text): one row per file, of files up to a size."""
     raw = spark.read.text(as_paths(patterns), wholetext=True)
+    if up_to is not None:
+        raw = raw.where(F.col("_metadata.file_size") <= up_to)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
@@ -76,14 +80,12 @@ def split_articles(text: Column) -> Column:
 
 
 def read_articles(spark: SparkSession, patterns: str | list[str], whole_files: bool = True) -> DataFrame:
-    """(path, article_no, text).
-
-    whole_files=False splits large files at blank lines while scanning; it differs in one
-    point: a file that ends with a blank line yields no empty last article.
-    """
+    """(path, article_no, text).  whole_files=False reads large files in parts, with the same result.  Files without any byte have no row."""
     if whole_files:
         return read_texts(spark, patterns).select("path", F.posexplode(split_articles(F.col("text"))).alias("article_no", "text"))
-    return _numbered(spark.read.text(as_paths(patterns), lineSep="\n\n"), "article_no", "text")
+    from textforge.sources.extracts import file_articles
+
+    return file_articles(spark, patterns)
 
 
 def document_sentences(text: Column) -> Column:
