@@ -1,7 +1,10 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from textforge.functions.draws import order_key
 from textforge.operators import batches, holdout, metrics, packing, runlog
 from textforge.operators import vocab as V
 from textforge.operators.examples import PairSettings, chunk_ranges, create_examples, shuffle_examples
@@ -18,7 +21,7 @@ def test_dense_index_is_a_permutation(spark):
         assert sorted(r.idx for r in got) == list(range(n))
     other = dense_index(rows, ["k"], 8).where("idx = 0").first()["k"]
     assert dense_index(rows.repartition(64), ["k"], 7).where("idx = 0").first()["k"] == dense_index(
-        rows.coalesce(1), ["k"], 7, digits=1).where("idx = 0").first()["k"] != other
+        rows.coalesce(1).withColumn("payload", F.lit("x")), ["k"], 7).where("idx = 0").first()["k"] != other
 
 
 def test_block_of(spark):
@@ -72,7 +75,7 @@ def test_quota_and_sample(spark):
     train, held = holdout.kept_for_training(articles, ids), holdout.held_out(articles, ids)
     assert train.count() + held.count() == articles.count() and train.intersect(held).count() == 0
     plan = ids._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    assert "Window" not in plan and "Sort" not in plan  # the sample is a filter
 
 
 def test_overlap_ignores_empty_texts(spark):
@@ -283,3 +286,30 @@ def test_features(spark):
     assert [x["index"] for x in record.features[0]["layers"]] == [-1, 0]
     with pytest.raises(Exception, match="no activations for 2 4"):
         feature_records(feats, acts.where("pos <> 4"), [-1, 0]).collect()
+
+
+def test_sample_cuts_on_a_hot_file(spark):
+    sizes = {0: 3000, 1: 1, 2: 40, 3: 7, 4: 0}
+    rows = spark.createDataFrame([(f, i) for f, n in sizes.items() for i in range(n)], "file_id long, article_no long")
+    quotas = spark.createDataFrame([(0, 1234), (1, 1), (2, 13), (3, 50), (4, 2), (5, 0)], "file_id long, quota long")
+    ranked = rows.withColumn("h", order_key(9, "file_id", "article_no")).collect()
+    want = set()
+    for f, q in ((0, 1234), (1, 1), (2, 13), (3, 7)):
+        want |= {(r.file_id, r.article_no) for r in sorted((r for r in ranked if r.file_id == f), key=lambda r: r.h)[:q]}
+    for digits, open_rows in ((1, 1), (1, 20), (3, 10_000), (2, 1)):
+        got = holdout.sample_per_file(rows, quotas, 1300, 6, 9, open_rows=open_rows, digits=digits).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
+def test_sequential_sample_draws_as_one_generator_per_file(spark):
+    rows = spark.createDataFrame([(f, i) for f, n in ((0, 30), (1, 4), (2, 9)) for i in range(n)], "file_id long, article_no long")
+    quotas = spark.createDataFrame([(0, 5), (1, 9), (2, 0)], "file_id long, quota long")
+    got = {}
+    for r in holdout.sample_sequential(rows, quotas, 12345).collect():
+        got.setdefault(r.file_id, set()).add(r.article_no)
+    generator, want = random.Random(12345), []
+    while len(want) < 5:
+        number = int(generator.random() * 30)
+        if number not in want:
+            want.append(number)
+    assert got == {0: set(want), 1: {0, 1, 2, 3}}

@@ -54,7 +54,7 @@ def test_read_articles_and_documents(spark, tmp_path):
     got = text.read_articles(spark, str(tmp_path)).orderBy("article_no").collect()
     assert [r.text for r in got] == ["\nA1\nA2", "B1", "\nC1", ""]
     split = text.read_articles(spark, str(tmp_path), whole_files=False).orderBy("article_no").collect()
-    assert [r.text for r in split] == ["\nA1\nA2", "B1", "\nC1"]
+    assert [r.text for r in split] == ["\nA1\nA2", "B1", "\nC1", ""]
     docs = text.read_documents(spark, str(tmp_path)).orderBy("article_no").collect()
     assert [r.sentences for r in docs] == [["A1", "A2"], ["B1"], ["C1"]]
 

@@ -14,12 +14,13 @@ from textforge.functions.normalize import basic_tokens
 from textforge.operators import examples as X
 from textforge.operators.features import assemble_features
 from textforge.operators.ordering import dense_index
+from textforge.storage import materialize
 
 
 def planned(spark, sf_dir):
     s = settings(spark, sf_dir)
     docs = tokenized(spark, sf_dir, stored=True)
-    return docs, s, X.document_index(docs, s.seed), docs.count()
+    return docs, s, materialize(X.document_index(docs, s.seed)), docs.count()
 
 
 @query("shuffle_index", f"""
@@ -118,13 +119,31 @@ def assemble_features_rows(spark, sf_dir):
         int_sum("segment_ids").alias("segment_sum"))
 
 
-@query("mask_tokens", S.with_ctes(S.INSTANCES, """
+MASK_SQL = S.with_ctes(S.INSTANCES, """
 SELECT doc_id, dupe, chunk_no, len(positions)::BIGINT AS n_masked, array_to_string(positions, ' ') AS positions,
   array_to_string(labels, ' ') AS labels, list_sum(original)::BIGINT + delta AS id_sum,
   list_sum(list_transform(original, lambda x, i: x * i))::BIGINT + weighted_delta AS weighted_sum
-FROM whole JOIN masks USING (doc_id, dupe, chunk_no)"""))
+FROM whole JOIN masks USING (doc_id, dupe, chunk_no)""")
+
+
+def mask_digest(rows):
+    return rows.select(
+        "doc_id", "dupe", "chunk_no", F.size("positions").cast("long").alias("n_masked"),
+        F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"),
+        F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels"), int_sum("token_ids").alias("id_sum"),
+        int_sum(F.transform("token_ids", lambda x, i: (x * (i + 1)).cast("long"))).alias("weighted_sum"))
+
+
+@query("mask_tokens", MASK_SQL)
 def mask_tokens(spark, sf_dir):
-    """The column form of masking; pretrain_examples uses the batch form."""
+    """Masking as the job runs it, on whole Arrow batches."""
+    docs, s, index, n = planned(spark, sf_dir)
+    return mask_digest(X.instances(X.sentence_pairs(docs, s, index, n), s))
+
+
+@query("mask_tokens_columns", MASK_SQL)
+def mask_tokens_columns(spark, sf_dir):
+    """The column form of masking, which also takes string tokens."""
     docs, s, index, n = planned(spark, sf_dir)
     whole = X.assembled(X.sentence_pairs(docs, s, index, n), s)
     key = key_text(F.lit(s.seed), "doc_id", "dupe", "chunk_no", F.lit("mask"))
@@ -132,11 +151,7 @@ def mask_tokens(spark, sf_dir):
     rows = whole.withColumn("positions", pairs.mask_positions(original, s.cls, s.sep, key, s.mask_prob, s.max_pred)).select(
         "doc_id", "dupe", "chunk_no", "positions", pairs.labels_at(original, positions).alias("labels"),
         pairs.apply_masks(original, positions, key, s.mask, s.vocab_size, lambda w: w).alias("token_ids"))
-    return rows.select(
-        "doc_id", "dupe", "chunk_no", F.size("positions").cast("long").alias("n_masked"),
-        F.array_join(F.col("positions").cast("array<string>"), " ").alias("positions"),
-        F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels"), int_sum("token_ids").alias("id_sum"),
-        int_sum(F.transform("token_ids", lambda x, i: (x * (i + 1)).cast("long"))).alias("weighted_sum"))
+    return mask_digest(rows)
 
 
 @query("encode_pad", f"""
@@ -167,12 +182,12 @@ def pretrain_examples(spark, sf_dir):
     """The flagship: shuffled, masked, padded sentence-pair examples, one digest row each."""
     s = settings(spark, sf_dir)
     docs = tokenized(spark, sf_dir, stored=True)
-    return X.shuffle_examples(X.create_examples(docs, s).select(
+    return X.shuffled_examples(docs, s, lambda e: e.select(
         "doc_id", "dupe", "chunk_no", int_sum("input_mask").alias("n_tokens"), F.get("next_sentence_labels", F.lit(0)).alias("next_label"),
         int_sum("input_ids").alias("id_sum"), int_sum(F.transform("input_ids", lambda x, i: (x * (i + 1)).cast("long"))).alias("weighted_sum"),
         int_sum("segment_ids").alias("segment_sum"), int_sum("masked_lm_positions").alias("position_sum"),
         int_sum("masked_lm_ids").alias("label_sum"),
-        F.aggregate("masked_lm_weights", F.lit(0.0), lambda a, x: a + x).alias("weight_sum")), s.seed, X.example_keys(docs, s))
+        F.aggregate("masked_lm_weights", F.lit(0.0), lambda a, x: a + x).alias("weight_sum")))
 
 
 @query("example_stats", S.with_ctes(S.INSTANCES, f"""

@@ -10,13 +10,15 @@ from textforge.catalog import sql as S
 from textforge.catalog.inputs import SEED, documents, settings, table, texts, tokenized, vocab_lines
 from textforge.catalog.registry import query
 from textforge.functions.draws import order_key
+from textforge.functions.markup import DROP_LINE_PATTERNS
 from textforge.functions.normalize import decode_utf8_ignore
 from textforge.functions.sentences import split_sentences
-from textforge.operators.examples import create_examples, example_keys, shuffle_examples
+from textforge.operators.examples import shuffled_examples
 from textforge.operators.holdout import article_hash
 from textforge.operators.ordering import dense_index
 from textforge.operators.packing import pack_name
 from textforge.operators.vocab import vocab_from_lines
+from textforge.plans import corpus
 from textforge.sources.sinks import article_text
 from textforge.sources.text import documents_from, list_files, split_articles, split_lines, split_pair
 from textforge.sources.tfrecord import assign_files, read_tfrecord, write_tfrecord
@@ -73,6 +75,83 @@ def file_inventory(spark, sf_dir):
         F.col("size").cast("long").alias("size"))
 
 
+def _folder(spark, name: str) -> str:
+    shared = shared_folder(spark)
+    if shared is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
+
+
+N_HELD, N_WORKERS = 90, 3
+# One extract file per source: its documents' extracts one after the other; state runs across documents.
+CORPUS_SQL = f"""{EXTRACT_LINES_SQL},
+names AS (SELECT source, row_number() OVER (ORDER BY source) - 1 AS file_id FROM (SELECT DISTINCT source FROM documents)),
+numbered AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY doc_id, line_no) AS k, line, contains(line, '<doc') AS is_doc
+  FROM extract_lines JOIN documents USING (doc_id) JOIN names USING (source)),
+kept AS (SELECT file_id, k, CASE WHEN is_doc THEN '' ELSE line END AS line FROM (
+    SELECT *, k - 1 - coalesce(max(CASE WHEN NOT is_doc THEN k END) OVER (
+      PARTITION BY file_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run_before FROM numbered)
+  WHERE run_before % 2 = 0 AND (is_doc OR (NOT contains(line, '</doc>') AND line <> '' AND {" AND ".join(f"NOT regexp_matches(line, {S.q(p)})" for p in DROP_LINE_PATTERNS)}))),
+sents AS (SELECT file_id, array_to_string(list_transform(string_split({S.mark("cleaned")}, chr(10)), lambda x: {S.strip("x")}), chr(10)) AS lines, k
+  FROM (SELECT file_id, k, {S.strip_tags(S.unwrap_links("line"))} AS cleaned FROM kept)),
+bodies AS (SELECT file_id, string_agg(lines, chr(10) ORDER BY k) || chr(10) || chr(10) AS body FROM sents GROUP BY file_id),
+arts AS (SELECT file_id, unnest(range(len(p))) AS article_no, unnest(p) AS text FROM (SELECT file_id, string_split(body, chr(10) || chr(10)) AS p FROM bodies))"""
+
+
+def extract_files(spark, sf_dir) -> str:
+    """The documents' extracts written as one file per source; the folder's glob."""
+    folder = _folder(spark, "extracts")
+    sources = documents(spark, sf_dir).select("doc_id", "source")
+    rows = extracts(spark, sf_dir).join(sources, "doc_id").select("source", "doc_id", F.regexp_replace("text", r"\n\z", "").alias("value"))
+    # A source is one file here, so that the readers meet files of any size.
+    rows.repartition("source").sortWithinPartitions("source", "doc_id").select("source", "value").write.partitionBy("source").text(folder)
+    return f"{folder}/*/*.txt"
+
+
+@query("extract_inventory", S.with_ctes(CORPUS_SQL, """
+SELECT file_id::BIGINT AS file_id, source, sum(strlen(extracts.text))::BIGINT AS size
+FROM extracts JOIN documents USING (doc_id) JOIN names USING (source) GROUP BY ALL"""))
+def extract_inventory(spark, sf_dir):
+    """Files written from the documents, numbered in path order, with their sizes."""
+    return list_files(spark, extract_files(spark, sf_dir)).select(
+        F.col("file_id").cast("long").alias("file_id"), F.regexp_extract("path", "/source=([^/]*)/", 1).alias("source"), F.col("size").cast("long").alias("size"))
+
+
+@query("extract_articles", S.with_ctes(CORPUS_SQL, """
+SELECT file_id::BIGINT AS file_id, article_no::BIGINT AS article_no, md5(text) AS text_md5 FROM arts"""))
+def extract_articles_rows(spark, sf_dir):
+    """Extract files read in parts: state and article numbers are carried across segments."""
+    s = corpus.CorpusSettings(whole_file_bytes=0, segment_bytes=50_000)
+    return corpus.corpus_articles(spark, extract_files(spark, sf_dir), s).select(
+        F.col("file_id").cast("long").alias("file_id"), "article_no", F.md5("text").alias("text_md5"))
+
+
+@query("prepare_corpus_roundtrip", S.with_ctes(CORPUS_SQL, f"""
+, n_files AS (SELECT count(*) AS f FROM names),
+held AS (SELECT file_id, article_no FROM (
+    SELECT file_id, article_no, row_number() OVER (PARTITION BY file_id ORDER BY {S.h(SEED, 'file_id', 'article_no')}) AS r FROM arts)
+  CROSS JOIN n_files WHERE r <= floor((file_id + 1) * {N_HELD}::DOUBLE / f) - floor(file_id * {N_HELD}::DOUBLE / f)),
+train AS (SELECT a.*, article_no = max(article_no) OVER (PARTITION BY file_id) AS is_last FROM arts a ANTI JOIN held USING (file_id, article_no)),
+width AS (SELECT (f + {N_WORKERS} - 1) // {N_WORKERS} AS w FROM n_files),
+packs AS (SELECT file_id, printf('part-%05d-of-%05d', file_id - least(file_id // w, {N_WORKERS} - 1) * w + 1000 * least(file_id // w, {N_WORKERS} - 1), 500) AS part
+  FROM names, width),
+lines AS (SELECT part, unnest(string_split(text || CASE WHEN is_last THEN '' ELSE chr(10) END, chr(10))) AS line FROM train JOIN packs USING (file_id)
+  UNION ALL SELECT 'eval_text', unnest(string_split(text || chr(10), chr(10))) FROM arts SEMI JOIN held USING (file_id, article_no)
+  UNION ALL SELECT 'eval_md5', md5({S.rstrip('text')}) FROM arts SEMI JOIN held USING (file_id, article_no))
+SELECT part, count(*) AS n_lines, sum(length(line))::BIGINT AS n_chars, sum((line = '')::INT)::BIGINT AS n_blank,
+  sum(('0x' || substr(md5(line), 1, 8))::BIGINT)::BIGINT AS line_sum FROM lines GROUP BY part""".lstrip()))
+def prepare_corpus_roundtrip(spark, sf_dir):
+    """The whole job on files: extracts in; packed training text, held-out text and hashes out, read back as lines."""
+    out = _folder(spark, "corpus")
+    s = corpus.CorpusSettings(n_test=N_HELD, block_bytes=1, workers=N_WORKERS, seed=SEED)
+    corpus.prepare_corpus(spark, extract_files(spark, sf_dir), out, s)
+    train = spark.read.text(f"{out}/train", lineSep="\n").select(F.col("pack_name").alias("part"), F.col("value").alias("line"))
+    held = [spark.read.text(f"{out}/{name}", lineSep="\n").select(F.lit(name).alias("part"), F.col("value").alias("line")) for name in ("eval_text", "eval_md5")]
+    return train.union(held[0]).union(held[1]).groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"), F.sum((F.col("line") == "").cast("long")).alias("n_blank"),
+        F.sum(F.conv(F.substring(F.md5("line"), 1, 8), 16, 10).cast("long")).alias("line_sum"))
+
+
 @query("wiki_lines", S.with_ctes(EXTRACT_LINES_SQL, "SELECT doc_id, line_no, md5(line) AS line_md5 FROM extract_lines"))
 def wiki_lines(spark, sf_dir):
     return extract_lines(spark, sf_dir).select("doc_id", "line_no", F.md5("line").alias("line_md5"))
@@ -148,11 +227,8 @@ def tfrecord_roundtrip(spark, sf_dir):
     """Examples written as TFRecord files, read back and summed."""
     s = settings(spark, sf_dir)
     docs = tokenized(spark, sf_dir, stored=True)
-    indexed = shuffle_examples(create_examples(docs, s), SEED, example_keys(docs, s))
-    shared = shared_folder(spark)
-    if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = f"{shared}/tfrecord-{uuid.uuid4().hex}"
+    indexed = shuffled_examples(docs, s)
+    folder = _folder(spark, "tfrecord")
     write_tfrecord(indexed, folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
     back = read_tfrecord(spark, folder, s.max_seq, s.max_pred)
 

@@ -7,6 +7,8 @@ order, and rows are ranked inside their block.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,30 +20,20 @@ def _cols(keys):
     return [F.col(k) for k in keys]
 
 
-def dense_index(df: DataFrame, keys: list[str], seed: int, name: str = "idx", digits: int = 3,
-                count_from: DataFrame | None = None) -> DataFrame:
+def dense_index(df: DataFrame, keys: list[str], seed: int, name: str = "idx", count_from: DataFrame | None = None) -> DataFrame:
     """Dense 0-based index in the order of md5(seed, keys): a reproducible full shuffle.
 
-    Rows are ranked inside 16**digits hash buckets and shifted by the bucket offsets, a
-    table of at most 16**digits rows, hence the broadcast.  ``count_from`` may name a
-    cheaper relation with the same keys for the counting pass.
+    Only hashes and keys are sorted and numbered, by sorted_index; other columns are joined to their number.  The keys
+    are unique.  ``count_from`` may name a cheaper relation with the same keys.
     """
-    if not 1 <= digits <= 5:
-        raise ValueError("digits must be between 1 and 5")
-
-    def tagged(d: DataFrame) -> DataFrame:
-        h = order_key(seed, *keys)
-        return d.withColumn("_h", h).withColumn("_bucket", F.substring("_h", 1, digits))
-
-    counts = tagged((count_from if count_from is not None else df).select(*keys)).groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("_n"))
-    # At most 16**digits rows, so one task may scan them.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_bucket").orderBy("_h", *keys)
-    return (tagged(df).join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, F.col("_offset") + F.row_number().over(inside) - 1)
-            .drop("_h", "_bucket", "_offset"))
+    # Stored, because range partitioning reads its input twice.
+    tagged = materialize((count_from if count_from is not None else df).select(*keys).withColumn("_h", order_key(seed, *keys)))
+    ranked = sorted_index(tagged, ["_h", *keys], name)
+    if set(df.columns) == set(keys):
+        return ranked.select(*df.columns, name)
+    side = ranked.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], name)
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[f"_key_{i}"]) for i, k in enumerate(keys)])
+    return df.join(side, same).select(*df.columns, name)
 
 
 def sorted_index(df: DataFrame, keys: list[str], name: str = "idx") -> DataFrame:

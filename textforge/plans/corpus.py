@@ -33,6 +33,7 @@ class CorpusSettings:
     fragment_on_blank: bool = True
     whole_file_bytes: int = WHOLE_FILE_BYTES
     segment_bytes: int = SEGMENT_BYTES
+    sequential_sample: bool = False
 
 
 def sentence_text(text):
@@ -82,16 +83,24 @@ def corpus_articles(spark: SparkSession, patterns, s: CorpusSettings) -> DataFra
     return found.join(known, "path").select("file_id", "article_no", "text")
 
 
+def closed_articles(train: DataFrame) -> DataFrame:
+    """Articles as a pack holds them: each with a blank line after it, but for each file's last one, which lacks a line break."""
+    last = train.groupBy("file_id").agg(F.max("article_no").alias("_last"))
+    ends = F.when(F.col("article_no") == F.col("_last"), "\n").otherwise("\n\n")
+    return train.join(last, "file_id").withColumn("text", F.concat("text", ends)).drop("_last")
+
+
 def prepare_corpus(spark: SparkSession, patterns, out: str, s: CorpusSettings = CorpusSettings()) -> None:
     """Write out/train (packed), out/eval_text and out/eval_md5."""
-    files = list_files(spark, patterns)
+    files = materialize(list_files(spark, patterns))
     n_files = files.count()
     articles = materialize(corpus_articles(spark, patterns, s))
     quotas = holdout.stratified_quota(files, s.n_test, n_files)
-    ids = materialize(holdout.sample_per_file(articles, quotas, s.n_test, n_files, s.seed))
+    ids = materialize(holdout.sample_sequential(articles, quotas, s.seed) if s.sequential_sample
+                      else holdout.sample_per_file(articles, quotas, s.n_test, n_files, s.seed))
     sinks.write_eval_set(holdout.held_out(articles, ids, s.n_test), f"{out}/eval_text", f"{out}/eval_md5")
     worked = files.withColumn("worker", packing.contiguous_group(F.col("file_id"), n_files, s.workers))
     packs = packing.pack_by_size(worked, s.block_bytes, "worker", "file_id", "size").select(
         "file_id", packing.pack_name(F.col("pack_no"), F.col("worker"), s.n_outputs).alias("pack_name"))
-    train = holdout.kept_for_training(articles, ids, s.n_test).join(packs, "file_id")
-    sinks.write_articles(train.withColumn("text", F.concat("text", F.lit("\n"))), f"{out}/train")
+    train = closed_articles(holdout.kept_for_training(articles, ids, s.n_test)).join(packs, "file_id")
+    sinks.write_texts(train, f"{out}/train")

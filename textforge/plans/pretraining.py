@@ -27,7 +27,7 @@ def generate_examples(documents: DataFrame, vocab: DataFrame, s: X.PairSettings,
     at = {t: tokens.index(t) for t in ("[CLS]", "[SEP]", "[MASK]")}
     sized = X.PairSettings(**{**s.__dict__, "cls": at["[CLS]"], "sep": at["[SEP]"], "mask": at["[MASK]"], "vocab_size": len(tokens)})
     docs = tokenize_documents(documents, tokens, lower)
-    return X.shuffle_examples(X.create_examples(docs, sized), sized.seed, X.example_keys(docs, sized))
+    return X.shuffled_examples(docs, sized)
 
 
 def write_examples(examples: DataFrame, path: str, n_files: int) -> None:
@@ -36,4 +36,5 @@ def write_examples(examples: DataFrame, path: str, n_files: int) -> None:
 
 def pick_evaluation_set(examples: DataFrame, k: int) -> DataFrame:
     """k evenly spaced examples of the shuffled order, indexed 0..k-1."""
-    return pick_even(examples, examples.count(), k).drop("idx").withColumnRenamed("pick_no", "idx")
+    stored = materialize(examples)  # counted and read
+    return pick_even(stored, stored.count(), k).drop("idx").withColumnRenamed("pick_no", "idx")
