@@ -46,7 +46,7 @@ class QualitySettings:
         return 2 * self.buckets + 1
 
 
-CHUNK = 8 << 20
+CHUNK = 1 << 20  # bytes of text whose features a task holds
 
 
 def _features(texts: pa.Array, s: QualitySettings) -> tuple[np.ndarray, np.ndarray]:

@@ -23,6 +23,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -37,7 +38,8 @@ HEAD = struct.Struct("<4s4I")
 BLOCK_BYTES = 16 << 20  # of text
 BLOCKS_PER_FILE = 8
 MAX_TOKENIZER = 64 << 20
-KNOWN_PIECES = 500_000  # pieces that a worker remembers between blocks
+KNOWN_PIECES = 200_000  # pieces that a worker remembers between blocks
+KNOWN_UNITS = 400_000  # and units
 
 # The byte-level pre-tokenizer's pattern, here over characters whose class no
 # Unicode version changes.
@@ -83,6 +85,26 @@ class UnitEncoder:
                        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec.get("added_tokens", [])))
         self.letters = str.maketrans(_byte_letters())
         self.known: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.flat, self.ends = array("I"), array("q", [0])
+
+    def numbered(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers of the units, ids of all known units one after the other, their ends); only unseen units are encoded."""
+        if len(self.numbers) > KNOWN_UNITS or len(self.flat) > 16 * KNOWN_UNITS:
+            self._forget()
+        known = self.numbers
+        found = list(map(known.get, units))
+        fresh = [u for u, n in zip(units, found) if n is None]
+        if fresh:
+            for unit, ids in zip(fresh, self.encode(fresh)):
+                known[unit] = len(self.ends) - 1
+                self.flat.extend(ids)
+                self.ends.append(len(self.flat))
+            found = map(known.__getitem__, units)
+        return np.fromiter(found, np.int64, len(units)), np.array(self.flat, np.uint32), np.array(self.ends, np.int64)
 
     def encode(self, units: list[str]) -> list[list[int]]:
         if not self.direct:
@@ -117,12 +139,10 @@ def encoder_of(text: str) -> UnitEncoder:
 def encode_texts(encoder: UnitEncoder, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids u32, ids per document): each document's ids and the end id."""
     offsets, codes, dictionary = arrays.units(texts)
-    per_unit = encoder.encode(dictionary.to_pylist())
-    per_unit.append([end_id])
-    sizes = np.fromiter(map(len, per_unit), np.int64, len(per_unit))
-    flat = np.fromiter((i for ids in per_unit for i in ids), np.uint32, int(sizes.sum()))
-    starts = np.cumsum(sizes) - sizes
-    codes = np.insert(codes, offsets[1:], len(per_unit) - 1)
+    numbers, flat, ends = encoder.numbered(dictionary.to_pylist())
+    # The end id is one unit more, after all known ones.
+    flat, starts, sizes = np.append(flat, np.uint32(end_id)), ends, np.append(np.diff(ends), 1)
+    codes = np.insert(numbers[codes], offsets[1:], len(sizes) - 1)
     taken = sizes[codes]
     ends = np.cumsum(taken)
     ids = flat[np.repeat(starts[codes] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
