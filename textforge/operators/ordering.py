@@ -24,10 +24,11 @@ def dense_index(df: DataFrame, keys: list[str], seed: int, name: str = "idx", co
     """Dense 0-based index in the order of md5(seed, keys): a reproducible full shuffle.
 
     Only hashes and keys are sorted and numbered, by sorted_index; other columns are joined to their number.  The keys
-    are unique.  ``count_from`` may name a cheaper relation with the same keys.
+    are unique.  ``count_from`` may name a cheaper relation with the same keys, best a stored one.
     """
-    # Stored, because range partitioning reads its input twice.
-    tagged = materialize((count_from if count_from is not None else df).select(*keys).withColumn("_h", order_key(seed, *keys)))
+    tagged = (count_from if count_from is not None else df).select(*keys).withColumn("_h", order_key(seed, *keys))
+    if count_from is None and set(df.columns) != set(keys):
+        tagged = materialize(tagged)  # range partitioning reads its input twice
     ranked = sorted_index(tagged, ["_h", *keys], name)
     if set(df.columns) == set(keys):
         return ranked.select(*df.columns, name)
