@@ -306,8 +306,8 @@ def _masks(strings: DataFrame, s: RepeatSettings) -> DataFrame:
     """(block, run, mask, split): bits of the repeated windows of a block's strings, or of its windows by fingerprint."""
     whole = strings.where("text IS NOT NULL")
     volume = whole.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    cores = strings.sparkSession.sparkContext.defaultParallelism
-    n_buckets = max(cores, -(-volume // s.bucket_bytes))
+    spark = strings.sparkSession
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // s.bucket_bytes))
     sorted_out = whole.select(F.pmod("mini", F.lit(n_buckets)).alias("bucket"), "block", "run", "text", "n").groupBy("bucket").applyInArrow(
         _counted(s), _MASK)
     windows = strings.where("text IS NULL").select("hi", "lo", "block", "run", "place", "n")
