@@ -39,7 +39,7 @@ BLOCK_BYTES = 16 << 20  # of text
 BLOCKS_PER_FILE = 8
 MAX_TOKENIZER = 64 << 20
 KNOWN_PIECES = 200_000  # pieces that a worker remembers between blocks
-KNOWN_UNITS = 400_000  # and units
+KNOWN_UNITS = 900_000  # and units
 
 # The byte-level pre-tokenizer's pattern, here over characters whose class no
 # Unicode version changes.
