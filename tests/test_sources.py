@@ -240,6 +240,9 @@ def test_feature_export(spark, tmp_path):
     got = {r["linex_index"]: r for r in (json.loads(x.value) for x in spark.read.text(str(tmp_path / "out")).collect())}
     assert [f["token"] for f in got[0]["features"]] == ["[CLS]", "a", "un", "##aff", "##able", "[SEP]", "b", "[SEP]"]
     assert got[1]["features"][2]["layers"] == [{"index": -1, "values": [2.0]}]
+    unknown = feats.withColumn("token_ids", F.array(F.lit(0), F.lit(len(words)), F.lit(1)))
+    with pytest.raises(Exception, match="id not in vocabulary: 10"):
+        feature_export.export_features(unknown, acts, vocab, [-1], str(tmp_path / "bad"))
 
 
 def test_column_operators_run_on_a_stream(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textforge.functions.normalize import basic_tokens
 from textforge.functions.pairs import pad
 from textforge.operators.features import assemble_features, feature_records
-from textforge.operators.vocab import encode_sentences
+from textforge.operators.vocab import encode_sentences, ids_to_tokens
 from textforge.sources.sinks import write_features_json
 
 
@@ -29,9 +29,11 @@ def pair_features(pairs: DataFrame, vocab: list[str], seq_length: int, lower: bo
 
 
 def export_features(features: DataFrame, activations: DataFrame, vocab: DataFrame, layers: list[int], path: str) -> None:
-    """Write one JSON record per pair; ``activations``: (unique_id, pos, layers)."""
+    """Write one JSON record per pair; ``activations``: (unique_id, pos, layers).
+
+    A null id or one outside the vocabulary is an error: leaving it out would move later tokens to other activations.
+    """
     spread = features.select("unique_id", F.posexplode_outer("token_ids").alias("pos", "token_id"))
-    named = spread.join(vocab.select("token_id", "token"), "token_id").groupBy("unique_id").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
+    named = ids_to_tokens(spread, vocab).groupBy("unique_id").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_t"))
     tokens = named.select("unique_id", F.transform("_t", lambda x: x.token).alias("tokens"))
     write_features_json(feature_records(tokens, activations, layers), path)
