@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from textforge.functions.draws import order_key
-from textforge.operators import batches, holdout, metrics, packing, runlog
+from textforge.functions.normalize import sentence_words
+from textforge.operators import batches, holdout, metrics, packing, runlog, tokenizing
 from textforge.operators import vocab as V
 from textforge.operators.examples import PairSettings, chunk_ranges, create_examples, shuffle_examples
 from textforge.operators.features import assemble_features, embedding_lookup, feature_records
@@ -313,3 +314,31 @@ def test_sequential_sample_draws_as_one_generator_per_file(spark):
         if number not in want:
             want.append(number)
     assert got == {0: set(want), 1: {0, 1, 2, 3}}
+
+
+MIXED = list(" \n\t\r\x0b\x0c\x85.!?\"')](ABabΣ́ͅ­ 　İ一É﷑012") + ["Mr.", "etc.", " A", "Α", "각", "\U00020000", "\U0001f600", "क़", "יִ"]
+
+
+def test_texts_are_tokenized_as_by_the_column_rules(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choice(MIXED) for _ in range(r.randrange(40))) for _ in range(3000)] + [None, "", "x" * 300]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string").repartition(3)
+    marks = [c for c in sorted({c for t in texts if t for c in t.lower()}) if not c.isspace()]
+    vocab = ["[UNK]", *marks[::2], *[f"##{c}" for c in marks], "ab", "mr", "##ba", "##b1"]
+    words = rows.select("doc_id", sentence_words(F.col("t")).alias("words"))
+    want = {r.doc_id: (r.ids, r.ends) for r in V.encode_sentences(words, "words", vocab).collect()}
+    assert {r.doc_id: (r.ids, r.ends) for r in tokenizing.encode_texts(rows, "t", vocab).collect()} == want
+    counts = words.select(F.explode(F.flatten("words")).alias("word")).groupBy("word").count()
+    assert sorted(map(tuple, tokenizing.word_counts(rows, "t").collect())) == sorted(map(tuple, counts.collect()))
+
+
+def test_encoding_a_word_tries_no_more_ends_than_the_vocabulary_has():
+    class Counted(str):
+        slices = 0
+
+        def __getitem__(self, at):
+            Counted.slices += 1
+            return str(self)[at]
+
+    assert V.word_encoder(["[UNK]", "a", "##a", "##aa"])(Counted("a" * 200)) == [1] + [3] * 99 + [2]
+    assert Counted.slices <= 2 * 200
