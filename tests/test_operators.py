@@ -342,3 +342,20 @@ def test_encoding_a_word_tries_no_more_ends_than_the_vocabulary_has():
 
     assert V.word_encoder(["[UNK]", "a", "##a", "##aa"])(Counted("a" * 200)) == [1] + [3] * 99 + [2]
     assert Counted.slices <= 2 * 200
+
+
+def test_frequent_tokens_are_looked_up_without_an_exchange_of_the_rows(spark):
+    vocab = spark.range(50).selectExpr("concat('t', id) AS token", "CAST(id AS INT) AS token_id").repartition(2)
+    rows = spark.range(100).selectExpr("id", "IF(id < 90, 't1', 't2') AS token", "CAST(id % 3 AS INT) AS token_id")
+    for found in (V.tokens_to_ids(rows.drop("token_id"), vocab), V.ids_to_tokens(rows.drop("token"), vocab)):
+        assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 100
+
+
+def test_pieces_by_join_look_up_existing_lengths_only(spark):
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(["[UNK]", "abcde", "a", "##b", "##a", "b"])], "token string, token_id int")
+    words = spark.createDataFrame([(w,) for w in ("abcde", "abab", "ba", "abc", "")], "word string")
+    found = V.wordpiece_by_join(words, vocab, 5)
+    assert {r.word: r.pieces for r in found.collect()} == {"abcde": ["abcde"], "abab": ["a", "##b", "##a", "##b"], "ba": ["b", "##a"],
+                                                           "abc": ["[UNK]"], "": []}
+    assert "sequence(1, least(" not in found._jdf.queryExecution().analyzed().toString()
