@@ -359,3 +359,14 @@ def test_pieces_by_join_look_up_existing_lengths_only(spark):
     assert {r.word: r.pieces for r in found.collect()} == {"abcde": ["abcde"], "abab": ["a", "##b", "##a", "##b"], "ba": ["b", "##a"],
                                                            "abc": ["[UNK]"], "": []}
     assert "sequence(1, least(" not in found._jdf.queryExecution().analyzed().toString()
+
+
+def test_chunks_are_planned_on_plain_numbers(monkeypatch):
+    ends = np.cumsum(np.arange(1, 60) % 9 + 1).astype(np.int32)
+    monkeypatch.setattr(np, "searchsorted", None)  # an array call per chunk was most of the planning
+    chunks = chunk_ranges(ends, 30, 7, 1, 0)
+    total = [0, *ends.tolist()]
+    for no, first, last, a_end, _, a_at, a_len, next_len in chunks:
+        assert total[last] - total[first] >= 30 or last == len(ends)
+        assert last - first == 1 or total[last - 1] - total[first] < 30
+        assert (a_at, a_len, next_len) == (total[first], total[a_end] - total[first], total[last] - total[a_end])
