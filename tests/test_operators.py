@@ -4,11 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textforge.functions.draws import order_key
+from textforge.functions import pairs
+from textforge.functions.draws import key_text, order_key
 from textforge.functions.normalize import sentence_words
 from textforge.operators import batches, holdout, metrics, packing, runlog, tokenizing
 from textforge.operators import vocab as V
-from textforge.operators.examples import PairSettings, chunk_ranges, create_examples, shuffle_examples
+from textforge.operators.examples import PairSettings, assembled, chunk_ranges, create_examples, instances, shuffle_examples
 from textforge.operators.features import assemble_features, embedding_lookup, feature_records
 from textforge.operators.headers import drop_doc_headers
 from textforge.operators.ordering import block_of, carried, dense_index, value_cuts
@@ -370,3 +371,21 @@ def test_chunks_are_planned_on_plain_numbers(monkeypatch):
         assert total[last] - total[first] >= 30 or last == len(ends)
         assert last - first == 1 or total[last - 1] - total[first] < 30
         assert (a_at, a_len, next_len) == (total[first], total[a_end] - total[first], total[last] - total[a_end])
+
+
+def test_instances_equal_the_column_forms_and_queue_no_source_arrays(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(400):
+        a, b = ([rng.randrange(2, 40) for _ in range(n)] for n in (rng.choice((0, 1, 5, 20, 90)), rng.choice((0, 1, 6, 25, 120))))
+        rows.append((k if k % 9 else None, k % 2, k, k % 3 == 0, a, b))
+    docs = spark.createDataFrame(rows, "doc_id long, dupe int, chunk_no int, is_random boolean, ids array<int>, b array<int>")
+    found = docs.select("doc_id", "dupe", "chunk_no", "is_random", F.slice("ids", 1, 80).alias("a"), "b")
+    s = PairSettings(max_seq=24, max_pred=4, dupe=2, vocab_size=40)
+    key = key_text(F.lit(s.seed), "doc_id", "dupe", "chunk_no", F.lit("mask"))
+    whole = assembled(found, s)
+    columns = whole.withColumn("_m", pairs.mask_ids(F.col("original"), s.cls, s.sep, key, s.mask_prob, s.max_pred, s.mask, s.vocab_size)).select(
+        "doc_id", "dupe", "chunk_no", "is_random", "segment_ids", "_m.*")
+    got = instances(found, s)
+    assert sorted(map(str, got.collect())) == sorted(map(str, columns.collect()))
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()
