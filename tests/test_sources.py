@@ -255,3 +255,16 @@ def test_column_operators_run_on_a_stream(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("cleaned").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.sql("select * from cleaned").first()["t"] == ["y", "z", "!"]
+
+
+def test_tfrecord_own_layout_is_read_without_a_walk_per_record(monkeypatch):
+    rng = np.random.default_rng(3)
+    kinds = {n: pa.float32() if n in tfrecord.FLOAT_FEATURES else pa.int32() for n in tfrecord.FEATURES}
+    batch = pa.RecordBatch.from_pydict({n: pa.array((rng.integers(-2, 40_000, (60, 30)) * (rng.random((60, 30)) < 0.5)).tolist()
+                                                    if str(k) == "int32" else rng.random((60, 30)).astype("float32").tolist(), pa.list_(k)) for n, k in kinds.items()})
+    coded = tfrecord.encode_examples(batch)
+    slow = {n: b"".join(r[n] for r in map(tfrecord._packed_features, coded)) for n in tfrecord.FEATURES}
+    assert {n: raw.tobytes() for n, (raw, _) in tfrecord._same_layout(coded).items()} == slow
+    assert tfrecord._same_layout([coded[0], coded[1][:-1]]) is None and tfrecord._same_layout([coded[0], b""]) is None
+    monkeypatch.setattr(tfrecord, "_packed_features", None)
+    assert tfrecord.decode_examples(coded, lambda n: 30, "x").equals(batch)
