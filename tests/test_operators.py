@@ -389,3 +389,32 @@ def test_instances_equal_the_column_forms_and_queue_no_source_arrays(spark):
     got = instances(found, s)
     assert sorted(map(str, got.collect())) == sorted(map(str, columns.collect()))
     assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joined_tokens_equal_the_literal_table(spark):
+    words = ["[PAD]", "a", "##b", "é", ""]
+    rows = spark.createDataFrame([(1, [1, 2, 4, 3]), (2, []), (None, [0]), (2, [2] * 3000)], "doc_id long, ids array<int>")
+    want = rows.select("doc_id", F.array_join(V.id_tokens(F.col("ids"), words), " ").alias("tokens"))
+    got = V.joined_tokens(rows, "ids", words)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_words_are_split_once_per_token(spark, monkeypatch):
+    rows = spark.createDataFrame([("it's fine.",)] * 500 + [("x, it's",), (None,)], "t string").coalesce(1)
+    calls = spark.sparkContext.accumulator(0)
+    split = tokenizing.word_splitter
+
+    def counting(table):
+        words = split(table)
+
+        def run(token):
+            calls.add(1)
+            return words(token)
+
+        return run
+
+    monkeypatch.setattr(tokenizing, "word_splitter", counting)
+    monkeypatch.setattr(tokenizing, "COUNTED", 10)
+    got = {r.word: r["count"] for r in tokenizing.word_counts(rows, "t").collect()}
+    assert got == {"it": 501, "'": 501, "s": 501, "fine": 500, ".": 500, "x": 1, ",": 1}
+    assert calls.value <= 4  # the empty text is a token, too
