@@ -35,3 +35,30 @@ def test_rows_only_queries(spark, name):
     assert rows
     if name == "utf8_ignore":
         assert all(r.same for r in rows)
+
+
+def test_words_are_counted_once_for_table_and_vocabulary(spark, monkeypatch):
+    from textforge.catalog import inputs, q_tokens
+
+    made = []
+    for module in (inputs, q_tokens):
+        monkeypatch.setattr(module, "word_counts", lambda *a, count=module.word_counts: made.append(1) or count(*a))
+    monkeypatch.setattr(inputs, "_VOCABS", {})
+    assert q_tokens.wordpiece(spark, SF).count() and len(made) == 1
+
+
+def test_only_shared_ids_are_joined_to_their_sources(spark, tmp_path):
+    from textforge.catalog import q_io
+
+    def checked(rows, name):
+        sf = f"{tmp_path}/{name}"
+        spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{sf}/documents.parquet")
+        got = q_io.with_source(spark, sf)
+        want = q_io.extracts(spark, sf).join(q_io.documents(spark, sf).select("doc_id", "source"), "doc_id")
+        columns = ["doc_id", "text", "source"]
+        assert sorted(map(str, got.select(*columns).collect())) == sorted(map(str, want.select(*columns).collect()))
+        return got._jdf.queryExecution().executedPlan().toString()
+
+    rows = [(k, f"line {k}\nmore", f"s{k % 3}") for k in range(20)] + [(30, None, "s1"), (31, "x", None)]
+    assert "Join" not in checked(rows, "unique")
+    checked([*rows, (None, "no id", "s1"), (3, "line 3\nmore", "s0"), (3, "other", "s2"), (4, None, None)], "shared")
