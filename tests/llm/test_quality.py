@@ -133,3 +133,15 @@ def test_ratios_of_chance_are_small():
 def test_null_ids_are_not_labelled():
     sample = quality.Sample(np.array([0, 7]))
     assert sample.holds(pa.array([7, None, 3, 0])).tolist() == [True, False, False, True]
+
+
+def test_counts_are_sent_in_parts_and_freed_memory_is_released(corpus, monkeypatch):
+    rows, _, _ = corpus
+    batch = pa.RecordBatch.from_pydict({"id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    s, released = quality.QualitySettings(), []
+    sample = quality.Sample(np.arange(0, 900, 2))
+    whole = pa.Table.from_batches(quality._counted(sample, s)([batch])).to_pydict()
+    monkeypatch.setattr(quality, "SENT", 1000)
+    monkeypatch.setattr(quality.arrays, "release", lambda: released.append(1))
+    parts = list(quality._counted(sample, s)([batch]))
+    assert pa.Table.from_batches(parts).to_pydict() == whole and len(parts) > 1 and max(p.num_rows for p in parts) <= 1000 and released

@@ -50,6 +50,7 @@ class QualitySettings:
 
 
 CHUNK = 1 << 20  # bytes of text whose features a task holds
+SENT = 1 << 16  # counts that a task sends at a time
 
 
 def _features(texts: pa.Array, s: QualitySettings) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +96,7 @@ def _counted(sample: Sample, s: QualitySettings):
     size = s.size
 
     def run(batches):
-        raw, target = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)  # the last place counts documents
+        raw, target = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)  # the last place counts documents
         for batch in arrays.chunks(batches, limit=CHUNK):
             buckets, owner = _features(arrays.text_array(batch.column("text")), s)
             good = sample.holds(batch.column("id"))
@@ -104,7 +105,11 @@ def _counted(sample: Sample, s: QualitySettings):
             raw[size] += len(good)
             target[size] += good.sum()
         found = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(raw[found]), pa.array(target[found])], names=["bucket", "raw", "target"])
+        for at in range(0, len(found), SENT):
+            part = found[at : at + SENT]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(raw[part].astype(np.int64)), pa.array(target[part].astype(np.int64))], names=["bucket", "raw", "target"])
+        del raw, target, found
+        arrays.release()
 
     return run
 
@@ -161,6 +166,7 @@ def _scored(ratio: np.ndarray, sample: Sample, s: QualitySettings):
         for batch in arrays.chunks(batches, limit=CHUNK):
             weight, key = _weighed(ratio, sample, s, batch)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sample.holds(batch.column("id"))), pa.array(weight), pa.array(key)], names=["doc_id", "good", "log_weight", "key"])
+        arrays.release()
 
     return run
 
@@ -231,8 +237,10 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, s: QualitySettings = Qualit
         for whole in batches:
             text = pa.compute.fill_null(whole.column(text_at), "")
             slim = pa.RecordBatch.from_arrays([whole.column(id_at).cast(pa.int64()), text], names=["id", "text"])
-            keys = [_weighed(ratio, sample, s, part)[1] for part in arrays.chunks(iter([slim]), limit=CHUNK)]
-            if keys:
-                yield whole.filter(pa.array(np.concatenate(keys) >= threshold))
+            at = 0
+            for part in arrays.chunks(iter([slim]), limit=CHUNK):
+                yield whole.slice(at, part.num_rows).filter(pa.array(_weighed(ratio, sample, s, part)[1] >= threshold))
+                at += part.num_rows
+        arrays.release()
 
     return docs.mapInArrow(run, docs.schema)
