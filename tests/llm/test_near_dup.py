@@ -2,6 +2,7 @@ import random
 
 from brute import components
 
+from textforge.llm import near_dup
 from textforge.llm.near_dup import near_duplicates
 
 SCHEMA = "doc_id long, text string, label string, keys string, component_id long"
@@ -38,3 +39,19 @@ def test_edges_of_the_input(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_signing_holds_a_small_part_of_a_batch():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw = np.random.default_rng(4)
+    texts = [" ".join(map(str, draw.integers(0, 9000, 1000))) for _ in range(1700)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in near_dup._sign(near_dup.NearDupSettings())([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 60 << 20, peak

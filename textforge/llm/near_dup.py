@@ -42,6 +42,7 @@ class NearDupSettings:
     seed: int = 7
 
 
+CHUNK = 2 << 20  # bytes of text whose shingles a task holds; they take some ten times as much
 _SIGNED = "id long, n_shingles long, set_hi long, set_lo long, keys array<long>"
 
 
@@ -72,7 +73,7 @@ def _sign(s: NearDupSettings):
     salts = arrays.mix(np.arange(1, s.coordinates + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(s.seed))
 
     def run(batches):
-        for batch in arrays.chunks(batches, limit=8 << 20):
+        for batch in arrays.chunks(batches, limit=CHUNK):
             values, offsets = shingle_sets(arrays.text_array(batch.column("text")), s.shingle, s.seed)
             sizes = np.diff(offsets)
             some = sizes > 0
@@ -90,6 +91,7 @@ def _sign(s: NearDupSettings):
                 [batch.column("id"), pa.array(sizes.astype(np.int64)), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)),
                  arrays.lists(keys.reshape(-1).view(np.int64), key_ends)],
                 names=["id", "n_shingles", "set_hi", "set_lo", "keys"])
+        arrays.release()
 
     return run
 
@@ -98,7 +100,7 @@ def _full_sets(s: NearDupSettings):
     salts = arrays.mix(np.arange(1, s.sketch_bits + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(s.seed))
 
     def run(batches):
-        for batch in arrays.chunks(batches, limit=4 << 20):
+        for batch in arrays.chunks(batches, limit=CHUNK):
             values, offsets = shingle_sets(arrays.text_array(batch.column("text")), s.shingle, s.seed)
             n = batch.num_rows
             bits = np.zeros((n, s.sketch_bits), np.uint8)
