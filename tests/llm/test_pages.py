@@ -94,3 +94,18 @@ def test_host_repeats_are_removed_from_open_pages(spark):
         assert got[k] == f"Story number {k} tells words w{k} x{k}"
     assert got[10].startswith("Home News") and got[10].endswith("\nAlone")
     assert all(got[20 + k].startswith("One and the same page") for k in range(3))
+
+
+def test_articles_take_part_in_their_host(spark):
+    menu = "<div>Home News Sport Weather Travel Contact us today about our offers</div>"
+    story = "<h2>A short heading</h2><p>The bridge over the river was closed on Monday after a barge struck it</p>"
+    notice = "Please switch off your blocker so that we can go on writing"
+    rows = [(1, "https://s.example/1", f"<body>{menu}<article>{story}</article><div>Beside it</div>")]
+    rows += [(k, f"https://s.example/{k}", f"<body>{menu}<div>{story}</div><div>{notice}</div><div>Number {k}</div>") for k in (2, 3)]
+    rows += [(4, "https://s.example/4", f"<body><nav>{menu}</nav><aside>{notice}</aside><article>Other</article>"), (7, "https://s.example/7", f"<article>{notice}</article>")]
+    rows += [(k, f"https://t.example/{k}", f"<body>{story}<div>Number {k}</div>") for k in (5, 6)]
+    got = {r.page_id: r.text for r in main_text.main_texts(frame(spark, rows)).collect()}
+    told = "A short heading\nThe bridge over the river was closed on Monday after a barge struck it"
+    assert got[1] == told and got[4] == "Other" and got[7] == notice
+    assert all(got[k] == f"{told}\nNumber {k}" for k in (2, 3))
+    assert all(got[k] == f"Number {k}" for k in (5, 6))
