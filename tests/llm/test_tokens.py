@@ -87,3 +87,33 @@ def test_random_unicode_units(library):
     ids, sizes = token_files.encode_texts(encoder, pa.array(texts), 7)
     want = [[*e.ids, 7] for e in library["byte_bpe_50k.json"].encode_batch(texts, add_special_tokens=False)]
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_units_go_through_the_library_together(library, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "KNOWN_UNITS", 40)
+    encoder = token_files.UnitEncoder(token_files.tokenizer_text(public_tokenizers.path("byte_bpe_50k.json")))
+    calls = []
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            def call(*args, **more):
+                calls.append(name)
+                return getattr(self.inner, name)(*args, **more)
+
+            return call
+
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    draw = random.Random(3)
+    for _ in range(6):
+        texts = [" ".join(draw.choices(["one", "two,", "x9.", "isn't", "a<|endoftext|>b", "été", f"w{draw.random()}"], k=30)) for _ in range(20)]
+        for part in (texts, [x.replace("<|endoftext|>", ";") for x in texts]):
+            ids, sizes = token_files.encode_texts(encoder, pa.array(part), 7)
+            want = [[*e.ids, 7] for e in library["byte_bpe_50k.json"].encode_batch(part, add_special_tokens=False)]
+            assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert calls.count("encode_batch_fast") <= 12
+    assert encoder.numbered([" two", ","])[0].tolist() == [encoder.numbers[" two"], encoder.numbers[","]]
