@@ -88,3 +88,25 @@ def test_round_trip_of_hard_texts(spark):
 def test_query(spark):
     rows = queries.op4(spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r.same and r.n_tokens > 0 and r.runner_up <= r.score and r.n_best == 3 for r in rows)
+
+
+def test_units_are_remembered_between_chunks(table, monkeypatch):
+    import pyarrow as pa
+
+    model, draw, built, plain = pieces.model_bytes(MODEL), random.Random(7), [], pieces.Lattice
+    words = "the of walking 漢é ▁x unbelievable xq zebra don't \U0001f600b".split() + [f"w{k}" for k in range(60)]
+    texts = ["", *("  ".join(draw.choices(words, k=draw.randrange(1, 30))) for _ in range(60))]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k]), pa.array([t])], names=["id", "text"]) for k, t in enumerate(texts)]
+
+    def rows(chunk, known):
+        monkeypatch.setattr(pieces, "CHUNK", chunk)
+        monkeypatch.setattr(pieces, "KNOWN_UNITS", known)
+        pieces.known_units.cache_clear()
+        return [r for b in pieces._encoded(model, 3)(iter(batches)) for r in b.to_pylist()]
+
+    want = rows(1 << 20, 10_000)
+    assert rows(1, 20) == want
+    monkeypatch.setattr(pieces, "Lattice", lambda t, units: built.extend(units) or plain(t, units))
+    assert rows(1, 10_000) == want
+    # A unit has one lattice for its best segmentation and one more if its n best are asked for.
+    assert all(built.count(u) <= 2 for u in set(built))
