@@ -79,3 +79,13 @@ def test_edges(spark, corpus):
     assert dc.contaminated(frame(spark, []), bench).collect() == []
     assert dc.contaminated(frame(spark, odd), bench.limit(0)).collect() == []
     assert dc.drop_contaminated(frame(spark, []), bench).collect() == []
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    import pyarrow as pa
+
+    released, s = [], dc.LatentSettings()
+    monkeypatch.setattr(dc.arrays, "release", lambda: released.append(1))
+    batch = pa.RecordBatch.from_pydict({"text": ["some words of a passage", ""]})
+    assert list(dc._frequencies(s)([batch])) and released == [1]
+    assert list(dc._sketch(np.ones(s.terms), s)([batch])) and released == [1, 1]

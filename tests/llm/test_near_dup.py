@@ -55,3 +55,22 @@ def test_signing_holds_a_small_part_of_a_batch():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert rows == len(texts) and peak < 60 << 20, peak
+
+
+def test_a_chunk_takes_little_memory_and_both_passes_give_it_back(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    draw = np.random.default_rng(5)
+    texts = [" ".join(map(str, draw.integers(0, 9000, 1000))) for _ in range(1000)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    released = []
+    monkeypatch.setattr(near_dup.arrays, "release", lambda: released.append(1))
+    for k, task in enumerate((near_dup._sign, near_dup._full_sets), 1):
+        tracemalloc.start()
+        rows = sum(part.num_rows for part in task(near_dup.NearDupSettings())([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts) and peak < 28 << 20 and len(released) == k, peak

@@ -110,3 +110,13 @@ def test_units_are_remembered_between_chunks(table, monkeypatch):
     assert rows(1, 10_000) == want
     # A unit has one lattice for its best segmentation and one more if its n best are asked for.
     assert all(built.count(u) <= 2 for u in set(built))
+
+
+def test_one_worker_of_a_task_encodes_and_decodes(spark):
+    texts = [None, "", " a  b", "The cat\n\nsat", "漢字 😀é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for made in (pieces.round_trip(df, MODEL), pieces.encoded_and_checked(df, MODEL)):
+        assert made._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert sorted(r.doc_id for r in made.collect() if r.same) == list(range(len(texts)))
+    apart = {r.doc_id: r.text for r in pieces.decode(pieces.encode(df, MODEL), MODEL).collect()}
+    assert apart == {r.doc_id: r.text for r in pieces.encode_and_decode(df, MODEL).collect()} == {k: t or "" for k, t in enumerate(texts)}

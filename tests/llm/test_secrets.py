@@ -59,3 +59,12 @@ def test_query_equals_brute_force(spark):
 
 def test_empty_table(spark):
     assert secrets.find_secrets(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_tasks_give_memory_back(spark, monkeypatch):
+    import pyarrow as pa
+
+    released = []
+    monkeypatch.setattr(secrets.arrays, "release", lambda: released.append(1))
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["token=abcdefgh1", ""]})
+    assert sum(part.num_rows for part in secrets._scan(secrets.SecretSettings())([batch])) == 2 and released == [1]

@@ -96,6 +96,7 @@ def _frequencies(s: LatentSettings):
             found += np.bincount(terms, minlength=s.terms)
             total += passages
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, s.terms)), pa.array(np.append(total, found))], names=["term", "n"])
+        arrays.release()
 
     return run
 
@@ -134,6 +135,8 @@ def _sketch(idf: np.ndarray, s: LatentSettings):
             total += np.rint(part * idf[:, None] * _FIX).astype(np.int64)
         found = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(found), *(pa.array(total[found, j]) for j in range(width))], names=["term", *(f"y{j}" for j in range(width))])
+        del total
+        arrays.release()
 
     return run
 
@@ -272,6 +275,7 @@ def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(owner[rows])), pa.array(items.item[passage[rows]]), pa.array((low - offsets[owner])[rows]),
                      pa.array((high - offsets[owner])[rows]), pa.array(score[rows].astype(float)), pa.array(share[rows])], names=_NAMES)
+        arrays.release()
 
     return run
 

@@ -42,7 +42,7 @@ class NearDupSettings:
     seed: int = 7
 
 
-CHUNK = 2 << 20  # bytes of text whose shingles a task holds; they take some ten times as much
+CHUNK = 1 << 20  # bytes of text whose shingles a task holds; they take some ten times as much
 _SIGNED = "id long, n_shingles long, set_hi long, set_lo long, keys array<long>"
 
 
@@ -113,6 +113,7 @@ def _full_sets(s: NearDupSettings):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), arrays.lists(values.view(np.int64), offsets),
                  arrays.lists(packed, np.arange(n + 1) * (s.sketch_bits // 64))], names=["id", "shingles", "bits"])
+        arrays.release()
 
     return run
 

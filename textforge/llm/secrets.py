@@ -192,6 +192,7 @@ def _scan(s: SecretSettings):
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), arrays.lists((points[start] - zero).astype(np.int32), ends), arrays.lists((points[end] - zero).astype(np.int32), ends),
                  arrays.lists(kind.astype(np.int32), ends), arrays.lists(score, ends)], names=names)
+        arrays.release()
 
     return run
 
@@ -308,6 +309,7 @@ def redact(docs: DataFrame, s: SecretSettings = SecretSettings()) -> DataFrame:
             made = pa.compute.if_else(text.is_valid(), made, pa.scalar(None, pa.string()))
             columns = [made if k == text_at else batch.column(k) for k in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        arrays.release()
 
     out = docs.mapInArrow(run, docs.schema)
     if "n_chars" not in names:
