@@ -89,3 +89,32 @@ def test_tasks_give_memory_back(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"text": ["some words of a passage", ""]})
     assert list(dc._frequencies(s)([batch])) and released == [1]
     assert list(dc._sketch(np.ones(s.terms), s)([batch])) and released == [1, 1]
+
+
+def test_search_holds_a_small_part_of_its_words(corpus, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rows, items, leaks = corpus
+    s, draw = dc.LatentSettings(), np.random.default_rng(2)
+    latent = draw.standard_normal((s.terms, s.rank))
+    packed = dc._item_passages([i for i, _ in items], pa.array([t for _, t in items]), latent, s)
+    rows = [(0, ""), *((k + 1, t) for k, t in rows), (9000, ""), (9001, " ".join(t for _, t in rows[:40]))]
+
+    def found(copies):
+        batch = pa.RecordBatch.from_pydict({"id": [k for k, _ in rows] * copies, "text": [t for _, t in rows] * copies})
+        made = [r for part in dc._search(packed, latent, s)([batch]) for r in part.to_pylist()]
+        return sorted((r["doc_id"], r["item_id"], r["word_start"], r["word_end"], round(r["cosine"], 4)) for r in made)
+
+    want = found(1)
+    assert {(d - 1, i) for d, i, *_ in want if d < 9000} >= {x for x in leaks if x[0] % 20}
+    for words in (1, 500, 1 << 30):
+        monkeypatch.setattr(dc, "PART_WORDS", words)
+        assert found(1) == want
+    monkeypatch.undo()
+    tracemalloc.start()
+    assert found(5) == sorted(want * 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20, peak

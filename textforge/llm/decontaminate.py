@@ -52,6 +52,7 @@ class LatentSettings:
 
 
 CHUNK = 6 << 20
+PART_WORDS = 1 << 17  # words that a search holds running sums of: 8 bytes a direction and word
 _FIX = 1 << 16  # fixed-point factor of the sketch
 
 
@@ -218,6 +219,17 @@ def _key_table(items: _Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys, bits, place
 
 
+def _parts(batches, s: LatentSettings):
+    """(ids, offsets, hashed words) of documents with at most PART_WORDS words, one document at least."""
+    for batch in arrays.joined(batches, limit=CHUNK):
+        offsets, hashed = _hashed_words(arrays.text_array(batch.column("text")), s)
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(offsets, offsets[start] + PART_WORDS, side="right")) - 1)
+            yield batch.column("id").slice(start, stop - start), offsets[start : stop + 1] - offsets[start], hashed[offsets[start] : offsets[stop]]
+            start = stop
+
+
 def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
     classes = [np.flatnonzero((items.lengths >= a) & (items.lengths < b)) for a, b in zip((0, 11, 15, 20, 27, 36, 48), (11, 15, 20, 27, 36, 48, 1 << 30))]
     classes = [c for c in classes if len(c)]
@@ -236,8 +248,7 @@ def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
         return whole, common_subsequences(shifted, tail[passage])
 
     def run(batches):
-        for batch in arrays.joined(batches, limit=CHUNK):
-            offsets, hashed = _hashed_words(arrays.text_array(batch.column("text")), s)
+        for ids, offsets, hashed in _parts(batches, s):
             terms = _terms(hashed, s)
             sums = np.zeros((latent.shape[1], len(hashed) + 1), np.float64)
             for running, values in zip(sums, latent.T):  # one direction at a time, along memory
@@ -273,7 +284,7 @@ def _search(items: _Items, latent: np.ndarray, s: LatentSettings):
             if hit.any():
                 rows = np.flatnonzero(hit)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(pa.array(owner[rows])), pa.array(items.item[passage[rows]]), pa.array((low - offsets[owner])[rows]),
+                    [ids.take(pa.array(owner[rows])), pa.array(items.item[passage[rows]]), pa.array((low - offsets[owner])[rows]),
                      pa.array((high - offsets[owner])[rows]), pa.array(score[rows].astype(float)), pa.array(share[rows])], names=_NAMES)
         arrays.release()
 
