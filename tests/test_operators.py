@@ -9,10 +9,12 @@ from textforge.functions.draws import key_text, order_key
 from textforge.functions.normalize import sentence_words
 from textforge.operators import batches, holdout, metrics, packing, runlog, tokenizing
 from textforge.operators import vocab as V
-from textforge.operators.examples import PairSettings, assembled, chunk_ranges, create_examples, instances, shuffle_examples
+from textforge.operators.examples import (PairSettings, assembled, chunk_ranges, create_examples, instances, padded_examples, shuffle_examples,
+                                          shuffled_examples, shuffled_pairs)
 from textforge.operators.features import assemble_features, embedding_lookup, feature_records
 from textforge.operators.headers import drop_doc_headers
 from textforge.operators.ordering import block_of, carried, dense_index, value_cuts
+from textforge.storage import materialize
 from test_functions import HEADER_CASES, header_properties
 
 
@@ -418,3 +420,20 @@ def test_words_are_split_once_per_token(spark, monkeypatch):
     got = {r.word: r["count"] for r in tokenizing.word_counts(rows, "t").collect()}
     assert got == {"it": 501, "'": 501, "s": 501, "fine": 500, ".": 500, "x": 1, ",": 1}
     assert calls.value <= 4  # the empty text is a token, too
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_pairs_are_numbered_like_examples(spark, odd):
+    docs = corpus(spark, 30)
+    if odd:  # a doc_id that repeats, and one that is null
+        docs = docs.unionByName(docs.where("doc_id < 2")).unionByName(docs.where("doc_id = 3").withColumn("doc_id", F.lit(None).cast(docs.schema["doc_id"].dataType)))
+    docs = materialize(docs)
+    digest = ["doc_id", "dupe", "chunk_no", "next_sentence_labels", "input_ids", "masked_lm_positions", "masked_lm_ids"]
+    want = shuffled_examples(docs, S)
+    found = padded_examples(shuffled_pairs(docs, S), S, "idx")
+    if odd:
+        want, found = want.drop("idx"), found.drop("idx")
+    columns = [c for c in [*digest, "idx"] if c in want.columns]
+    assert sorted(str(tuple(r)) for r in found.select(*columns).collect()) == sorted(str(tuple(r)) for r in want.select(*columns).collect())
+    if not odd:
+        assert sorted(r.idx for r in found.select("idx").collect()) == list(range(found.count()))

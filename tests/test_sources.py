@@ -1,4 +1,5 @@
 import glob
+import gzip
 import json
 import os
 import struct
@@ -268,3 +269,17 @@ def test_tfrecord_own_layout_is_read_without_a_walk_per_record(monkeypatch):
     assert tfrecord._same_layout([coded[0], coded[1][:-1]]) is None and tfrecord._same_layout([coded[0], b""]) is None
     monkeypatch.setattr(tfrecord, "_packed_features", None)
     assert tfrecord.decode_examples(coded, lambda n: 30, "x").equals(batch)
+
+
+def test_tfrecord_gzip_files_hold_the_same_bytes(spark, tmp_path):
+    rows = example_rows(spark, 50)
+    for kind in ("none", "gzip"):
+        tfrecord.write_tfrecord(rows.select("idx", F.struct(*tfrecord.FEATURES).alias("held")), str(tmp_path / kind), 3,
+                                made=lambda dealt: dealt.select("file_no", "held.*"), compression=kind)
+    plain, packed = (sorted(glob.glob(f"{tmp_path}/{kind}/part-*")) for kind in ("none", "gzip"))
+    assert all(p.endswith(".gz") for p in packed) and [gzip.open(p).read() for p in packed] == [open(p, "rb").read() for p in plain]
+    assert tfrecord.read_tfrecord(spark, str(tmp_path / "gzip"), 16, 3).count() == 50
+    tfrecord.write_tfrecord(rows.where("idx < 1"), str(tmp_path / "gzip"), 2, mode="overwrite", compression="gzip")
+    assert tfrecord.read_tfrecord(spark, str(tmp_path / "gzip"), 16, 3).count() == 1 and len(glob.glob(f"{tmp_path}/gzip/part-*")) == 2
+    with pytest.raises(Exception, match="compression"):
+        tfrecord.write_tfrecord(rows, str(tmp_path / "x"), 2, compression="lzo")
