@@ -9,7 +9,7 @@ from textforge.functions.draws import key_text, order_key
 from textforge.functions.normalize import sentence_words
 from textforge.operators import batches, holdout, metrics, packing, runlog, tokenizing
 from textforge.operators import vocab as V
-from textforge.operators.examples import (PairSettings, assembled, chunk_ranges, create_examples, instances, padded_examples, shuffle_examples,
+from textforge.operators.examples import (PairSettings, assembled, chunk_ranges, create_examples, example_stats, instances, padded_examples, shuffle_examples,
                                           shuffled_examples, shuffled_pairs)
 from textforge.operators.features import assemble_features, embedding_lookup, feature_records
 from textforge.operators.headers import drop_doc_headers
@@ -422,6 +422,17 @@ def test_words_are_split_once_per_token(spark, monkeypatch):
     assert calls.value <= 4  # the empty text is a token, too
 
 
+def test_example_stats_count_distinct_tokens(spark):
+    rows = [(None, [2, 7, 7, 3, 0], [1, 1, 1, 1, 0], [1.0, 0.0], [0]), (None, [2, 9, 3, 0, 0], [1, 1, 1, 0, 0], [1.0, 1.0], [1]), (1, [2, 0, 3, 5, 0], [1, 1, 1, 1, 0], [0.0, 0.0], [1])]
+    made = spark.createDataFrame(rows, "g int, input_ids array<int>, input_mask array<int>, masked_lm_weights array<float>, next_sentence_labels array<int>")
+    got = {r.g: r for r in example_stats(made, ["g"]).collect()}
+    assert {g: (r.instances, r.distinct_tokens, r.random_share) for g, r in got.items()} == {None: (2, 4, 0.5), 1: (1, 4, 1.0)}
+    assert got[None].padding_share == pytest.approx(0.3) and got[None].masked_share == pytest.approx(3 / 7)
+    whole = example_stats(made, []).first()
+    assert (whole.instances, whole.distinct_tokens) == (3, 6)
+    assert example_stats(made.limit(0), []).first().instances == 0
+
+
 @pytest.mark.parametrize("odd", [False, True])
 def test_pairs_are_numbered_like_examples(spark, odd):
     docs = corpus(spark, 30)
