@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from textforge.llm import divergence
 from textforge.llm.divergence import AuditSettings, audit, merged_runs, pair_corrections, term_index
 
 SCHEMA = "text string, lang string, source string, n long, term string, gid long, doc_id long"
@@ -119,3 +120,25 @@ def test_index_counts_documents_once(spark):
     df = spark.createDataFrame([("a a b", "en", "x"), ("a", "en", "y"), ("B", "en", "x")], "text string, lang string, source string")
     got = sorted(tuple(r) for r in term_index(df, AuditSettings(least_docs=2)).select("term", "source", "n", "total").collect())
     assert got == [("", "x", 0, 0), ("", "y", 0, 0), ("a", "x", 2, 3), ("a", "y", 1, 3), ("b", "x", 2, 2)]
+
+
+def test_shards_are_merged_in_windows(spark, monkeypatch):
+    s = AuditSettings(least_docs=1, block_rows=4, merge_rows=60)
+    draw = random.Random(8)
+    runs = []
+    for _ in range(6):
+        keys = sorted({(draw.choice("ab"), draw.choice(["", "é", "z"]) + str(draw.randint(0, 300)), draw.choice("pq")) for _ in range(400)})
+        runs.append(pa.table([*map(list, zip(*keys)), [1] * len(keys), [1] * len(keys)], names=["lang", "term", "source", "n", "df"]))
+    blocks = pa.Table.from_batches([b for part in runs for b in divergence._spilled(part, 2, s.block_rows)]).sort_by([(c, "ascending") for c in ("shard", "lang", "term")])
+    seen = []
+    monkeypatch.setattr(divergence, "merged_runs", lambda held: seen.append(sum(t.num_rows for t in held)) or merged_runs(held))
+    got = pa.Table.from_batches(divergence._merge(s)(blocks.to_batches(max_chunksize=7))).to_pylist()
+    want = {}
+    for part in runs:
+        for r in part.to_pylist():
+            want[r["lang"], r["term"], r["source"]] = want.get((r["lang"], r["term"], r["source"]), 0) + 1
+    assert {(r["lang"], r["term"], r["source"]): r["n"] for r in got} == want and len(got) == len(want)
+    assert len({r["term_no"] for r in got}) == len({k[:2] for k in want}) == sum(r["head"] for r in got) and {r["term_no"] >> 32 for r in got} == {0, 1}
+    assert sum(seen) == sum(t.num_rows for t in runs) and max(seen) < 100
+    rows = corpus(3, 200)
+    assert run(spark, rows, AuditSettings(memory_rows=20, chunk_bytes=300, block_rows=2, merge_rows=3)) == brute(rows)

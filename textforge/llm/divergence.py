@@ -2,8 +2,9 @@
 
 Frequencies come from a single-pass in-memory index.  A task collects block postings
 (language, term, source -> occurrences, documents) until ``memory_rows`` of them are held, then
-spills them as a term-sorted run, cut by hash shard.  A shard heap-merges its runs into one
-posting list per term and keeps the terms in enough documents.
+spills them as a term-sorted run, cut by hash shard into blocks.  A shard reads the blocks of all its
+runs in the order of their first terms and heap-merges them into one posting list per term, a window
+of terms at a time: what is held does not grow with the shard.  Terms in enough documents are kept.
 
 Every pair of sources is compared over all kept terms, absent ones with count zero.  Written
 f(a, b) for two shares' divergence and a0 for a share of count zero, a term adds
@@ -18,13 +19,13 @@ growing distance within a list, into partial sums per pair.  All of it is intege
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_left
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,10 @@ from textforge.storage import materialize
 class AuditSettings:
     least_docs: int = 10
     top: int = 10
-    chunk_bytes: int = 8 << 20
+    chunk_bytes: int = 2 << 20
     memory_rows: int = 1 << 20
+    block_rows: int = 1 << 12
+    merge_rows: int = 1 << 17
     pair_rows: int = 1 << 20
 
 
@@ -45,7 +48,7 @@ _LETTER = np.full(256, 32, np.uint8)
 _LETTER[np.r_[97:123, 128:256]] = np.r_[97:123, 128:256]
 _LETTER[65:91] = np.arange(97, 123)
 
-_RUN = "shard int, run long, data binary"
+_RUN = "shard int, lang string, term string, data binary"
 _FREQ = "term_no long, lang string, term string, source string, n long, total long, head boolean"
 #: 1000000000 as a product of two factors, so that a scaled count stays a long.
 _FIRST, _SECOND = 32_000, 31_250
@@ -82,8 +85,8 @@ def _added(held: list[pa.Table]) -> pa.Table:
     return table.rename_columns(["lang", "term", "source", "n", "df"])
 
 
-def _spilled(table: pa.Table, n_shards: int, run: int):
-    """The rows of one term-sorted run, a row per shard."""
+def _spilled(table: pa.Table, n_shards: int, block_rows: int):
+    """The rows of one term-sorted run: a row for each block of a shard, with its first language and term."""
     lang_codes, lang_names = arrays.encode(table.column("lang").combine_chunks())
     mixed = arrays.byte_hashes(table.column("term").combine_chunks()) ^ arrays.byte_hashes(lang_names, 1)[lang_codes]
     shard = (mixed % np.uint64(n_shards)).astype(np.int32)
@@ -91,25 +94,28 @@ def _spilled(table: pa.Table, n_shards: int, run: int):
     shard = table.column("shard").to_numpy()
     table = table.drop_columns(["shard"]).combine_chunks()
     cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(table.slice(a, b - a))
-        yield pa.RecordBatch.from_arrays([pa.array(shard[a : a + 1]), pa.array([run]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["shard", "run", "data"])
+    for a, end in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        for at in range(a, end, block_rows):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(table.slice(at, min(block_rows, end - at)))
+            first = [pa.array([table.column(c)[at].as_py()], pa.string()) for c in ("lang", "term")]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[at : at + 1]), *first, pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                             names=["shard", "lang", "term", "data"])
 
 
 def _runs(s: AuditSettings, n_shards: int):
     def run(batches):
-        task, spills, held = TaskContext.get().partitionId(), 0, []
+        held = []
         for part in arrays.joined(batches, limit=s.chunk_bytes):
             held.append(block_postings(part))
             if sum(t.num_rows for t in held) > s.memory_rows:
                 held = [_added(held)]
                 if held[0].num_rows > s.memory_rows // 2:
-                    yield from _spilled(held[0], n_shards, task << 32 | spills)
-                    spills, held = spills + 1, []
+                    yield from _spilled(held.pop(), n_shards, s.block_rows)
         if held:
-            yield from _spilled(_added(held), n_shards, task << 32 | spills)
+            yield from _spilled(_added(held), n_shards, s.block_rows)
+        arrays.release()
 
     return run
 
@@ -143,22 +149,58 @@ def merged_runs(runs: list[pa.Table]) -> pa.Table:
     return out.append_column("n", pa.array(n)).append_column("df", pa.array(df)).append_column("number", pa.array(number[by[cut]]))
 
 
+def _kept(merged: pa.Table, first_no: int, s: AuditSettings) -> pa.Table:
+    """The kept posting lists of merged runs; numbers go on from ``first_no``."""
+    number = merged.column("number").to_numpy()
+    first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+    total, df = (np.add.reduceat(merged.column(c).to_numpy(), first)[number] for c in ("n", "df"))
+    group = np.asarray(pc.equal(merged.column("term"), ""))
+    keep = np.flatnonzero((df >= s.least_docs) | group)
+    head = np.zeros(len(number), bool)
+    head[first] = True
+    part = merged.take(pa.array(keep))
+    return pa.table([pa.array(first_no + number[keep]), part.column("lang"), part.column("term"), part.column("source"),
+                     part.column("n"), pa.array(total[keep]), pa.array(head[keep] & ~group[keep])],
+                    names=[c.split()[0] for c in _FREQ.split(", ")])
+
+
+def _before(block: pa.Table, key: tuple[str, str]) -> int:
+    """How many rows of a sorted block come before a (language, term)."""
+    lang, term = block.column("lang"), block.column("term")
+    return bisect_left(range(block.num_rows), key, key=lambda i: (lang[i].as_py(), term[i].as_py()))
+
+
 def _merge(s: AuditSettings):
-    """The kept posting lists of a shard."""
-
-    def run(table: pa.Table) -> pa.Table:
-        merged = merged_runs([pa.ipc.open_stream(d).read_all() for d in table.column("data").to_pylist()])
-        number = merged.column("number").to_numpy()
-        first = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
-        total, df = (np.add.reduceat(merged.column(c).to_numpy(), first)[number] for c in ("n", "df"))
-        group = np.asarray(pc.equal(merged.column("term"), ""))
-        keep = np.flatnonzero((df >= s.least_docs) | group)
-        head = np.zeros(len(number), bool)
-        head[first] = True
-        part = merged.take(pa.array(keep))
-        return pa.table([pa.array((table.column("shard")[0].as_py() << 32) + number[keep]), part.column("lang"), part.column("term"), part.column("source"),
-                         part.column("n"), pa.array(total[keep]), pa.array(head[keep] & ~group[keep])],
-                        names=[c.split()[0] for c in _FREQ.split(", ")])
+    """The kept posting lists of shards, whose blocks come sorted by shard, first language and first term.
+
+    No later block has a term before the first one of the block at hand, so all that is held of such terms is whole.
+    """
+    def run(batches):
+        held, rows, shard, first_no, most = [], 0, None, 0, s.merge_rows
+        for batch in batches:
+            for number, lang, term, data in zip(*(batch.column(c) for c in ("shard", "lang", "term", "data"))):
+                done = []
+                if number.as_py() != shard:
+                    done, held = held, []
+                elif rows >= most:
+                    key = (lang.as_py(), term.as_py())
+                    cuts = [_before(t, key) for t in held]
+                    done = [t.slice(0, n) for t, n in zip(held, cuts) if n]
+                    held = [t.slice(n) for t, n in zip(held, cuts) if n < t.num_rows]
+                    rows = sum(t.num_rows for t in held)
+                    most = max(s.merge_rows, 2 * rows)
+                if done:
+                    merged = merged_runs(done)
+                    yield from _kept(merged, first_no, s).to_batches()
+                    first_no += merged.column("number")[-1].as_py() + 1
+                if number.as_py() != shard:
+                    shard = number.as_py()
+                    rows, first_no, most = 0, shard << 32, s.merge_rows
+                held.append(pa.ipc.open_stream(data.as_buffer()).read_all())
+                rows += held[-1].num_rows
+        if held:
+            yield from _kept(merged_runs(held), first_no, s).to_batches()
+        arrays.release()
 
     return run
 
@@ -172,7 +214,8 @@ def term_index(docs: DataFrame, s: AuditSettings = AuditSettings()) -> DataFrame
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
     rows = docs.select(*text)
     n_shards = max(rows.sparkSession.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
-    return materialize(rows.mapInArrow(_runs(s, n_shards), _RUN).groupBy("shard").applyInArrow(_merge(s), _FREQ))
+    blocks = rows.mapInArrow(_runs(s, n_shards), _RUN).repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "lang", "term")
+    return materialize(blocks.mapInArrow(_merge(s), _FREQ))
 
 
 def share(count: str, volume: str, n_terms: str) -> str:
