@@ -448,3 +448,13 @@ def test_pairs_are_numbered_like_examples(spark, odd):
     assert sorted(str(tuple(r)) for r in found.select(*columns).collect()) == sorted(str(tuple(r)) for r in want.select(*columns).collect())
     if not odd:
         assert sorted(r.idx for r in found.select("idx").collect()) == list(range(found.count()))
+
+
+def test_pieces_by_join_only_join_the_vocabulary(spark):
+    words = spark.createDataFrame([("ab",), ("ab",), ("q",), ("",), (None,), ("a" * 9,), ("\0ab",), ("abz",)], "word string")
+    vocab = spark.createDataFrame([("ab", 0), ("a", 1), ("##a", 2), ("##b", 3), ("\0ab", 4), ("[UNK]", 5), ("\0\0ab", 6)], "token string, token_id int")
+    found = V.wordpiece_by_join(words, vocab, 5, max_chars=8)
+    assert {r.word: r.pieces for r in found.collect()} == {
+        "ab": ["ab"], "q": ["[UNK]"], "": [], None: ["[UNK]"], "a" * 9: ["[UNK]"], "\0ab": ["\0ab"], "abz": ["[UNK]"]}
+    assert found.count() == 7
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
