@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
@@ -120,3 +121,17 @@ def test_one_worker_of_a_task_encodes_and_decodes(spark):
         assert sorted(r.doc_id for r in made.collect() if r.same) == list(range(len(texts)))
     apart = {r.doc_id: r.text for r in pieces.decode(pieces.encode(df, MODEL), MODEL).collect()}
     assert apart == {r.doc_id: r.text for r in pieces.encode_and_decode(df, MODEL).collect()} == {k: t or "" for k, t in enumerate(texts)}
+
+
+def test_every_segmentation_is_decoded_and_compared(spark):
+    df = spark.createDataFrame([(1, "hello world again"), (2, ""), (3, "▁漢 \n x"), (None, None)], "doc_id long, text string")
+    batch = pa.RecordBatch.from_pylist([{"id": r.doc_id, "text": r.text or ""} for r in df.collect()], pa.schema([("id", pa.int64()), ("text", pa.string())]))
+    table = pieces.table_of(pieces.model_bytes(MODEL))
+    made = next(pieces._encoded(pieces.model_bytes(MODEL), 3, True)(iter([batch])))
+    assert pieces._all_same(table, made) == [True] * 4 and all(r.same for r in pieces.round_trip(df, MODEL).collect())
+    rows = made.to_pylist()
+    found = pieces.segmentations(np.array(rows[0]["ids"]), rows[0]["alternatives"])
+    assert len({tuple(x.tolist()) for x in found}) == 3
+    # An alternative that reads otherwise is seen, though the best segmentation gives the text back.
+    rows[0]["alternatives"][1]["edits"][0]["ids"] = rows[0]["alternatives"][1]["edits"][0]["ids"][:-1]
+    assert pieces._all_same(table, pa.RecordBatch.from_pylist(rows, made.schema)) == [False, True, True, True]
