@@ -2,6 +2,7 @@ import base64
 import glob
 import hashlib
 
+import pyarrow as pa
 import pytest
 
 from textforge.llm import main_text, queries, warc
@@ -109,3 +110,24 @@ def test_articles_take_part_in_their_host(spark):
     assert got[1] == told and got[4] == "Other" and got[7] == notice
     assert all(got[k] == f"{told}\nNumber {k}" for k in (2, 3))
     assert all(got[k] == f"Number {k}" for k in (5, 6))
+
+
+def test_every_page_takes_part_in_its_host(spark):
+    def page(k, shared):
+        return f"<body><nav>Home News Sport Weather Travel Contact us {'today' if shared else k} about our offers</nav><article><p>Story w{k} x{k} y{k}</p></article></body>"
+
+    rows = [(k, f"https://a.example/{k}", page(k, True)) for k in range(4)] + [(9, "https://a.example/9", page(0, True)), (5, "https://a.example/5", page(5, False)),
+                                                                              (6, "https://b.example/6", page(6, True)), (7, "https://b.example/7", None)]
+    got = {r.page_id: r for r in main_text.main_texts(frame(spark, rows)).collect()}
+    assert all(got[k].text == f"Story w{k} x{k} y{k}" for k in (0, 1, 2, 3, 5, 6)) and got[9].text == got[0].text
+    # The menu's 11 tokens and the article's first one hold five runs of eight that other pages hold, too; a page's copy is no other page.
+    assert {k: r.n_repeated for k, r in got.items()} == {0: 5, 1: 5, 2: 5, 3: 5, 9: 5, 5: 0, 6: 0, 7: 0}
+
+
+def test_groups_of_suffixes_reach_over_batches():
+    rows = {"head": [1, 1, 1, 2, 3, 3, 3, 3], "page": [5, 5, 6, 5, 7, 7, 7, 8], "is_open": [False, False, True, False, True, True, False, False],
+            "article": [True, False, False, True, True, False, False, False], "dropped": [False, False, False, False, False, False, False, True]}
+    want = [(5, False, 1, True), (6, True, 1, True), (7, False, 3, False), (7, True, 3, False), (8, False, 3, False)]
+    for size in (1, 2, 3, 8):
+        made = [tuple(r.values()) for b in main_text._repeats(pa.table(rows).to_batches(max_chunksize=size)) for r in b.to_pylist()]
+        assert sorted(made) == sorted(want)
